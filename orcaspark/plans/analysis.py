@@ -10,7 +10,7 @@ from orcaspark.functions.dates import year_bounds
 from orcaspark.operators.base import analysis_base
 from orcaspark.operators.ledger import executed_monthly
 from orcaspark.operators.reconcile import plan_snapshot, reconcile, reconcile_strict
-from orcaspark.session import stage
+from orcaspark.session import stage_all
 
 DEFAULT_YEAR = 2025
 DEFAULT_PPA = "PPA 2025 - 2025/DEZ"
@@ -37,7 +37,7 @@ def both_sides(
     ledger is scanned once instead of three times.
     """
     executed = executed_monthly(ledger, *year_bounds(year))
-    return Sides(stage(plan_snapshot(planned, ppa), "planejado"), stage(executed, "executado"))
+    return Sides(*stage_all({"planejado": plan_snapshot(planned, ppa), "executado": executed}))
 
 
 def planned_vs_executed(sides: Sides, names: DataFrame | None = None, strict: bool = False):

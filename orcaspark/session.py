@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 from uuid import uuid4
 
@@ -52,3 +53,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{staging_root(df.sparkSession)}/{label}-{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(frames: dict[str, DataFrame]) -> list[DataFrame]:
+    """Stage several independent results; their jobs share the executors."""
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        return list(pool.map(lambda item: stage(item[1], item[0]), frames.items()))
