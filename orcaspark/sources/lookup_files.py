@@ -12,8 +12,9 @@ from orcaspark.functions import strip_ws
 from orcaspark.lookups import NATURE_STANDARD, NATURE_TEXT
 from orcaspark.operators.rows import last_by_key, require_columns
 
-BAD_LINE = "_linha_ruim"
+SURPLUS = "excesso"
 POSITION = "linha"
+BYTE_ORDER_MARK = "\ufeff"
 
 
 def read_separated(
@@ -25,36 +26,26 @@ def read_separated(
     fields are left out (``bad_lines`` returns them), short lines keep nulls at the
     end. Without ``columns`` the header names are taken from the file.
     """
-    return _lines(spark, path, columns, sep, bad=False)
+    return _lines(spark, path, columns, sep).filter(F.col(SURPLUS).isNull()).drop(SURPLUS)
 
 
 def bad_lines(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ";"
 ) -> DataFrame:
-    """The raw lines ``read_separated`` leaves out."""
-    return _lines(spark, path, columns, sep, bad=True)
+    """The lines ``read_separated`` leaves out, with their first surplus field ``excesso``."""
+    return _lines(spark, path, columns, sep).filter(F.col(SURPLUS).isNotNull())
 
 
-def _lines(spark, path, columns, sep, bad):
+def _lines(spark, path, columns, sep):
+    """Declared fields plus one more that only lines with too many fields fill."""
     if columns is None:
         header = spark.read.csv(path, sep=sep, header=True)
-        columns = [c.strip().lstrip("﻿") for c in header.columns]
-    schema = StructType([StructField(c, StringType()) for c in [*columns, BAD_LINE]])
-    rows = spark.read.csv(
-        path,
-        sep=sep,
-        header=True,
-        schema=schema,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=BAD_LINE,
-        enforceSchema=True,
-    )
-    broken = F.size(F.split(F.col(BAD_LINE), sep)) > len(columns)
-    too_long = F.coalesce(F.col(BAD_LINE).isNotNull() & broken, F.lit(False))
-    ordered = rows.withColumn(POSITION, F.monotonically_increasing_id())
-    if bad:
-        return ordered.filter(too_long).select(POSITION, F.col(BAD_LINE).alias("texto"))
-    return ordered.filter(~too_long).drop(BAD_LINE)
+        columns = [c.strip().lstrip(BYTE_ORDER_MARK) for c in header.columns]
+    schema = StructType([StructField(c, StringType()) for c in [*columns, SURPLUS]])
+    # An impossible null marker keeps an empty surplus field apart from a missing one.
+    rows = spark.read.csv(path, sep=sep, header=True, schema=schema, nullValue="\0")
+    filled = {c: F.nullif(F.col(c), F.lit("")) for c in columns}
+    return rows.withColumns(filled).withColumn(POSITION, F.monotonically_increasing_id())
 
 
 def read_unit_map(spark: SparkSession, path: str) -> DataFrame:
