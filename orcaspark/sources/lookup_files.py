@@ -23,8 +23,8 @@ def read_separated(
     """Text columns of a separated file with a header, plus the reading order ``linha``.
 
     A byte-order mark is ignored and header names are trimmed. Lines with too many
-    fields are left out (``bad_lines`` returns them), short lines keep nulls at the
-    end. Without ``columns`` the header names are taken from the file.
+    fields are left out (``bad_lines`` returns them; an empty surplus field does not
+    count), short lines keep nulls at the end. Without ``columns`` the header names are taken from the file.
     """
     return _lines(spark, path, columns, sep).filter(F.col(SURPLUS).isNull()).drop(SURPLUS)
 
@@ -42,10 +42,8 @@ def _lines(spark, path, columns, sep):
         header = spark.read.csv(path, sep=sep, header=True)
         columns = [c.strip().lstrip(BYTE_ORDER_MARK) for c in header.columns]
     schema = StructType([StructField(c, StringType()) for c in [*columns, SURPLUS]])
-    # An impossible null marker keeps an empty surplus field apart from a missing one.
-    rows = spark.read.csv(path, sep=sep, header=True, schema=schema, nullValue="\0")
-    filled = {c: F.nullif(F.col(c), F.lit("")) for c in columns}
-    return rows.withColumns(filled).withColumn(POSITION, F.monotonically_increasing_id())
+    rows = spark.read.csv(path, sep=sep, header=True, schema=schema)
+    return rows.withColumn(POSITION, F.monotonically_increasing_id())
 
 
 def read_unit_map(spark: SparkSession, path: str) -> DataFrame:

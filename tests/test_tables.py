@@ -124,11 +124,11 @@ def test_separated_file(spark, tmp_path):
     )
     found = as_dicts(lookup_files.read_unit_map(spark, str(path)).orderBy("linha"))
     assert [(r["nm_unidade_padronizada"], r["final"]) for r in found] == [
-        ("A", "a"), ("C", None), ("A", "last"), ("x;y", "z"),
+        ("A", "a"), ("C", None), ("A", "last"), ("D", "d"), ("x;y", "z"),
     ]
-    assert lookup_files.read_unit_map(spark, str(path)).count() == 4
+    assert lookup_files.read_unit_map(spark, str(path)).count() == 5
     surplus = lookup_files.bad_lines(spark, str(path)).select("nm_unidade_padronizada", "excesso")
-    assert surplus.collect() == [("B", "extra"), ("D", "")]
+    assert surplus.collect() == [("B", "extra")]
 
 
 def test_nature_file_keeps_the_last_text(spark, tmp_path):
