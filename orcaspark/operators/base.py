@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orcaspark.functions import slug, standard_unit, strip_ws
-from orcaspark.operators.rows import first_by_key, last_by_key
+from orcaspark.operators.rows import first_by_key, last_by_key, lookup_join
 
 EXCLUSIVE = "Exclusivo"
 SHARED = "Compartilhado"
@@ -51,14 +51,14 @@ def analysis_base(
     in which Spark splits the partitions of a hot project.
     """
     types = project_types(reconciled if pairs is None else pairs)
-    return (
-        reconciled.withColumn("unidade_padrao", standard_unit(F.col("UNIDADE")))
-        .join(unit_lookup(unit_map, position), "unidade_padrao", "left")
+    rows = reconciled.withColumn("unidade_padrao", standard_unit(F.col("UNIDADE")))
+    named = (
+        lookup_join(rows, unit_lookup(unit_map, position), ["unidade_padrao"])
         .withColumn("UNIDADE_FINAL", F.coalesce("unidade_final", "unidade_padrao"))
         .drop("UNIDADE", "unidade_padrao")
-        .join(types, "PROJETO", "left")
-        .withColumn("tipo_projeto", F.coalesce("tipo_projeto", F.lit(EXCLUSIVE)))
     )
+    typed = lookup_join(named, types, ["PROJETO"])
+    return typed.withColumn("tipo_projeto", F.coalesce("tipo_projeto", F.lit(EXCLUSIVE)))
 
 
 def directory_lookup(directory: DataFrame, position: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.types import NumericType
 from orcaspark.functions import drop_last_segment, strip_ws
 from orcaspark.functions.numbers import AMOUNT_SUM
 from orcaspark.operators.keys import KEY, MATCH_KEYS, ORIGINAL_KEY, apply_corrections, prepare_keys
-from orcaspark.operators.rows import first_by_key, not_null
+from orcaspark.operators.rows import first_by_key, lookup_join, not_null
 
 PROJECT_LENGTH = 5
 ACTION_LENGTH = 12
@@ -100,7 +100,7 @@ def enrich_planned(prepared: DataFrame, reference: DataFrame) -> DataFrame:
     own = set(prepared.columns)
     extra = [c for c in reference.columns if c not in own and c not in (KEY, ORIGINAL_KEY)]
     unique = unique_reference(reference).select(*MATCH_KEYS, *extra)
-    return prepared.join(unique, MATCH_KEYS, "left")
+    return lookup_join(prepared, unique, MATCH_KEYS)
 
 
 def enrich_committed(
@@ -121,9 +121,10 @@ def enrich_committed(
         "UNIDADE",
         "CODCCUSTO",
     ).filter(F.col("PROJETO").isNotNull())
-    if allocate == "first":
-        leaves = first_by_key(leaves, ["_truncado"], [F.col("CODCCUSTO")])
     booked = committed.withColumn("_truncado", strip_ws(F.col("CODCCUSTO"))).drop("CODCCUSTO")
+    if allocate == "first":
+        first = first_by_key(leaves, ["_truncado"], [F.col("CODCCUSTO")])
+        return lookup_join(booked, first, ["_truncado"], "inner").drop("_truncado")
     return booked.join(leaves, "_truncado").drop("_truncado")
 
 

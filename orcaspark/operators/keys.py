@@ -11,7 +11,7 @@ from orcaspark.functions import clean_text, coerce_int, join_key, key_part, stri
 from orcaspark.functions.dates import year_of
 from orcaspark.functions.text import UNIT_PREFIX
 from orcaspark.lookups import PLANNED_CAPTIONS
-from orcaspark.operators.rows import last_by_key, require_columns
+from orcaspark.operators.rows import last_by_key, lookup_join, require_columns
 
 KEY_PARTS = ["PROJETO", "ACAO", "UNIDADE"]
 MATCH_KEYS = [*KEY_PARTS, "ANO"]
@@ -78,27 +78,32 @@ def apply_corrections(
     """
     year_text = strip_ws(key_part(F.col("ChaveCorreta"), 3))
     usable = unique_corrections(corrections, position).select(
-        F.col("ChaveQuebrada").alias("_quebrada"),
+        F.col("ChaveQuebrada").alias(KEY),
         *[key_part(F.col("ChaveCorreta"), i).alias(f"_{p}") for i, p in enumerate(KEY_PARTS)],
         F.when(year_text.rlike(r"^[+-]?\d+$"), year_text.try_cast("int")).alias("_ANO"),
     )
     usable = usable.filter(F.col("_ANO").isNotNull())
-    joined = df.join(usable, F.col(KEY) == F.col("_quebrada"), "left")
-    found = F.col("_quebrada").isNotNull()
+    joined = lookup_join(df, usable, [KEY])
+    found = F.col("_ANO").isNotNull()
     first_key = F.col(ORIGINAL_KEY if ORIGINAL_KEY in df.columns else KEY)
     repaired = joined.withColumns(
         {
             ORIGINAL_KEY: first_key,
             **{p: F.when(found, F.col(f"_{p}")).otherwise(F.col(p)) for p in MATCH_KEYS},
         }
-    ).drop("_quebrada", *[f"_{p}" for p in MATCH_KEYS])
+    ).drop(*[f"_{p}" for p in MATCH_KEYS])
     return repaired.withColumn(KEY, join_key(*[F.col(p) for p in MATCH_KEYS]))
 
 
 def unmatched_keys(prepared: DataFrame, reference: DataFrame) -> DataFrame:
-    """Distinct keys without a cost centre in the reference."""
+    """Distinct keys without a cost centre in the reference.
+
+    The rows are reduced to their keys before the join, so a key shared by many
+    rows reaches it once.
+    """
+    wanted = prepared.select(*MATCH_KEYS, KEY).distinct()
     known = reference.select(*MATCH_KEYS)
-    return prepared.join(known, MATCH_KEYS, "left_anti").select(KEY).distinct()
+    return wanted.join(known, MATCH_KEYS, "left_anti").select(KEY).distinct()
 
 
 def rebuild_corrections(enriched: DataFrame) -> DataFrame:

@@ -40,6 +40,24 @@ def last_by_key(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
     return top_rows(df, keys, [F.col(position).desc()], 1)
 
 
+def lookup_join(
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Join to a lookup grouped by the join keys (one or a few rows per key).
+
+    A small lookup is broadcast by its size. Beyond that a key may hold a large part
+    of the facts, and Spark splits such a partition only where both sides reach the
+    join straight from a shuffle. The lookup was grouped by the same keys, which
+    Spark would take for the join's partitioning; the hash as one more join key
+    gives both sides a shuffle made for the join, and a later grouping its own.
+    """
+    mark = F.xxhash64(*[F.col(k).cast("string") for k in keys])
+    joined = facts.withColumn("_marca", mark).join(
+        lookup.withColumn("_marca", mark), [*keys, "_marca"], how
+    )
+    return joined.drop("_marca")
+
+
 def not_null(df: DataFrame, *columns: str) -> DataFrame:
     """Rows whose key columns are all present (groupings ignore missing keys)."""
     return df.na.drop(subset=list(columns))

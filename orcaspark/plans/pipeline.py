@@ -21,7 +21,7 @@ from orcaspark.operators.quality import usable
 from orcaspark.operators.repair import suggest_corrections
 from orcaspark.operators.reports import report_cube
 from orcaspark.plans.analysis import DEFAULT_PPA, DEFAULT_YEAR, Sides, build_base
-from orcaspark.session import stage
+from orcaspark.session import stage, tune
 from orcaspark.sinks.extracts import write_brazilian_csv, write_unit_documents, write_unit_extracts
 from orcaspark.sinks.tables import upsert
 from orcaspark.sources.versioned import VersionedTable
@@ -29,7 +29,7 @@ from orcaspark.sources.versioned import VersionedTable
 
 @dataclass
 class Enriched:
-    """Tables an enrichment run leaves behind; ``None`` where a flow had no usable row."""
+    """Saved tables after a run; ``None`` if a table never had a usable row."""
 
     planned: DataFrame | None
     committed: DataFrame | None
@@ -58,6 +58,7 @@ def run_enrichment(
     The prepared cost-centre reference serves both flows and each flow several
     readers, so they are staged once.
     """
+    tune(spark)
     reference = stage(prepare_keys(flatten_cost_centers(cost_center_raw)), "centros")
     planned = stage(planned_flow(planned_raw, reference, corrections), "planejado")
     booked = stage(committed_flow(committed, reference, corrections), "comprometido")
@@ -83,6 +84,7 @@ def run_reports(
     ``sides`` holds the year's staged planned and executed rows
     (``analysis.both_sides``). All units are written in the same few jobs.
     """
+    tune(ledger.sparkSession)
     base = stage(build_base(sides, unit_map, strict=strict), "base")
     names = stage(unit_names(base, directory), "unidades")
     cube = stage(report_cube(base), "cubo")

@@ -19,7 +19,7 @@ from orcaspark.operators import base as categories
 from orcaspark.operators import correlate, enrich, keys, ledger, merge, quality, reconcile, repair
 from orcaspark.operators import reports, units
 from orcaspark.plans.analysis import Sides, both_sides, build_base, planned_vs_executed
-from orcaspark.session import stage
+from orcaspark.session import stage, tune
 from orcaspark.sources import star
 from orcaspark.sources.lookup_files import json_map_rows
 
@@ -233,8 +233,9 @@ def committed_correlation(spark, d):
 
 
 def suggest_corrections(spark, d):
-    failed = unmatched_keys(spark, d)
-    return repair.suggest_corrections(failed, reference(spark, d))
+    centers = stage(reference(spark, d), "centros")
+    failed = keys.unmatched_keys(corrected(spark, d), centers)
+    return repair.suggest_corrections(failed, centers)
 
 
 def correction_rebuild(spark, d):
@@ -312,4 +313,4 @@ def queries() -> dict[str, Query]:
 
 
 def _run(query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(query(spark, str(sf_dir).rstrip("/")))
+    return flat(query(tune(spark), str(sf_dir).rstrip("/")))

@@ -12,6 +12,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot key is split in a join even if the next grouping then needs its own shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -24,6 +26,14 @@ def with_settings(builder: SparkSession.Builder, **extra: str) -> SparkSession.B
     return builder
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Turn on skew splitting in a session that was not built by ``with_settings``."""
+    name = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+    if spark.conf.get(name) != "true":
+        spark.conf.set(name, "true")
+    return spark
+
+
 @cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="orcaspark-")

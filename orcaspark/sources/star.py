@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orcaspark.functions import money
 from orcaspark.functions.numbers import AMOUNT
 from orcaspark.lookups import PLANNED_CAPTIONS
 
@@ -52,6 +51,9 @@ SCHEMAS = {
     " value double, props string",
 }
 
+# Exact types whose products stay within 18 digits, where Spark computes on longs.
+QUANTITY, UNIT_PRICE, PRICE, RATE = "decimal(7,2)", "decimal(10,2)", "decimal(12,2)", "decimal(4,2)"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of the star schema."""
@@ -119,7 +121,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "R", "DESPESAS EXCLUSIVAS DO ORÇAMENTO")
         .otherwise("RECEITAS")
     )
-    net = money(F.col("l_extendedprice")) * (F.lit(1) - F.col("l_discount").try_cast("decimal(4,2)"))
+    net = F.col("l_extendedprice").cast(PRICE) * (F.lit(1) - F.col("l_discount").cast(RATE))
     return order_lines(spark, sf_dir).select(
         F.to_date("l_shipdate").alias("DATA"),
         "PROJETO",
@@ -135,7 +137,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def planned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = money(F.col("l_quantity")) * money(F.col("p_retailprice"))
+    value = F.col("l_quantity").cast(QUANTITY) * F.col("p_retailprice").cast(UNIT_PRICE)
     return _ordered_lines(spark, sf_dir).select(
         F.year("o_orderdate").alias("ANO"),
         F.month("o_orderdate").alias("MES"),
@@ -192,20 +194,17 @@ def planned_cube_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known repairs: the broken keys planned before 1998."""
-    fixed = F.replace("PROJETO", F.lit(" "), F.lit("#"))
-    broken = (
-        planned_raw(spark, sf_dir)
-        .filter(F.contains(F.col("PROJETO"), F.lit(" ")) & (F.col("ANO") < 1998))
-        .select("PROJETO", "ACAO", "UNIDADE", "ANO")
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & F.contains("PROJETO", F.lit("#"))
+    known = (
+        planned_lines(spark, sf_dir)
+        .filter(urgent & (F.col("ANO") < 1998))
+        .select("PROJETO", "ACAO", "UNIDADE", F.col("ANO").cast("string"))
         .distinct()
     )
-    return broken.select(
-        F.concat_ws("|", "PROJETO", "ACAO", "UNIDADE", F.col("ANO").cast("string")).alias(
-            "ChaveQuebrada"
-        ),
-        F.concat_ws("|", fixed, "ACAO", "UNIDADE", F.col("ANO").cast("string")).alias(
-            "ChaveCorreta"
-        ),
+    broken = F.replace("PROJETO", F.lit("#"), F.lit(" "))
+    return known.select(
+        F.concat_ws("|", broken, "ACAO", "UNIDADE", "ANO").alias("ChaveQuebrada"),
+        F.concat_ws("|", "PROJETO", "ACAO", "UNIDADE", "ANO").alias("ChaveCorreta"),
     )
 
 
@@ -248,7 +247,7 @@ def commit_item(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One committed amount per order line, in the month of the order."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_tax", "l_extendedprice")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    value = F.col("l_tax").try_cast("decimal(4,2)") * money(F.col("l_extendedprice"))
+    value = F.col("l_tax").cast(RATE) * F.col("l_extendedprice").cast(PRICE)
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.lit(1).alias("CODCOLIGADA"),
         F.col("l_orderkey").alias("IDORCAMENTO"),

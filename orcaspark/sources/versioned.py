@@ -8,12 +8,15 @@ and a job may read the table it replaces. One writer at a time is assumed.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+logger = logging.getLogger(__name__)
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
@@ -58,6 +61,6 @@ def snapshot(table: VersionedTable, build: Callable[[], DataFrame]) -> DataFrame
             current.count()
             return current
     except Exception as error:  # any unreadable snapshot is replaced by a new version
-        print(f"snapshot {table.root} is unreadable and will be rebuilt: {error}")
+        logger.warning("snapshot %s is unreadable and will be rebuilt: %s", table.root, error)
     table.replace(build())
     return table.read()
