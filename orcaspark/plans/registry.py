@@ -18,8 +18,10 @@ from orcaspark.lookups import nature_names
 from orcaspark.operators import base as categories
 from orcaspark.operators import correlate, enrich, keys, ledger, merge, quality, reconcile, repair
 from orcaspark.operators import reports, units
+from orcaspark.operators.rows import rejected
 from orcaspark.plans.analysis import Sides, both_sides, build_base, planned_vs_executed
 from orcaspark.session import stage, tune
+from orcaspark.sinks.extracts import brazilian
 from orcaspark.sources import star
 from orcaspark.sources.lookup_files import json_map_rows
 
@@ -238,6 +240,35 @@ def suggest_corrections(spark, d):
     return repair.suggest_corrections(failed, centers)
 
 
+def correct_again(spark, d):
+    """Enriched without corrections, then once more with them."""
+    prepared = keys.prepare_keys(star.planned_raw(spark, d))
+    fixes, centers = star.corrections(spark, d), reference(spark, d)
+    first = enrich.enrich_planned(keys.apply_corrections(prepared, fixes.limit(0)), centers)
+    return enrich.correct_again(first, centers, fixes)
+
+
+def project_types(spark, d):
+    return categories.project_types(sides(spark, d).pairs())
+
+
+def unit_slice(spark, d):
+    return categories.unit_slice(base(spark, d), " unidade africa ")
+
+
+def base_rejects(spark, d):
+    """Rows the reports by project and nature leave out."""
+    return rejected(base(spark, d), reports.PROJECT, reports.NATURE)
+
+
+def unit_directory(spark, d):
+    return categories.directory_lookup(star.unit_directory(spark, d))
+
+
+def money_texts(spark, d):
+    return correlate.with_money_texts(committed(spark, d).withColumnRenamed("COMPROMETIDO", "SALDO"))
+
+
 def correction_rebuild(spark, d):
     return keys.rebuild_corrections(enriched(spark, d))
 
@@ -306,6 +337,14 @@ def queries() -> dict[str, Query]:
         "suggest_corrections": suggest_corrections,
         "correction_rebuild": correction_rebuild,
         "quality_counts": quality_counts,
+        "correct_again": correct_again,
+        "project_types": project_types,
+        "unit_slice": unit_slice,
+        "base_rejects": base_rejects,
+        "unit_cost_centers": on_base(correlate.unit_cost_centers),
+        "unit_directory": unit_directory,
+        "money_texts": money_texts,
+        "brazilian_text": on_base(brazilian),
         "json_map_rows": json_map,
         "unit_json": unit_json,
     }
