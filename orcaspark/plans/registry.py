@@ -187,12 +187,13 @@ def consolidate_committed(spark, d):
 def upsert(spark, d):
     """Plan of open lines merged into the plan of finished lines."""
     lines = star.planned_lines(spark, d)
-    by = ["ANO", "MES", "PROJETO", "ACAO", "CODCCUSTO"]
 
     def plan(status: str) -> DataFrame:
-        return star.summed(lines.filter(F.col("l_linestatus") == status), *by)
+        of_status = lines.filter(F.col("l_linestatus") == status)
+        by = ["ANO", "MES", "PROJETO", "ACAO", "numero", "n_nationkey"]
+        return star.with_center(star.summed(of_status, *by))
 
-    return merge.merge_rows(plan("F"), plan("O"), by)
+    return merge.merge_rows(plan("F"), plan("O"), ["ANO", "MES", "PROJETO", "ACAO", "CODCCUSTO"])
 
 
 def unit_names(spark, d):

@@ -67,6 +67,20 @@ def _text_of(code: Column, texts: dict[str, str | None]) -> Column:
     return chain
 
 
+def _center_code() -> Column:
+    """Project number, action and nation as a 5.6.4 character code."""
+    return F.concat_ws(
+        ".",
+        F.lpad(F.col("numero").cast("string"), 5, "0"),
+        F.left(F.rpad("ACAO", 6, "_"), F.lit(6)),
+        F.lpad(F.col("n_nationkey").cast("string"), 4, "0"),
+    )
+
+
+def _nature_code() -> Column:
+    return F.concat_ws(".", F.lit("3.1"), "l_returnflag", "l_linestatus")
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the budget keys; unused columns are pruned by the caller's plan."""
     lines = table(spark, sf_dir, "lineitem")
@@ -74,36 +88,22 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     exclusive = F.col("l_suppkey") % 3 == 0
-    project_number = F.when(exclusive, F.col("l_suppkey") + 10000).otherwise(
+    number = F.when(exclusive, F.col("l_suppkey") + 10000).otherwise(
         F.replace("p_brand", F.lit("Brand#"), F.lit("")).cast("bigint")
     )
-    return (
+    keyed = (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            "l_orderkey",
-            "l_shipdate",
-            "l_returnflag",
-            "l_linestatus",
-            "l_quantity",
-            "l_extendedprice",
-            "l_discount",
-            "l_tax",
-            "p_retailprice",
-            "s_name",
-            "n_name",
-            F.when(exclusive, F.col("s_name")).otherwise(F.col("p_brand")).alias("PROJETO"),
-            F.col("p_type").alias("ACAO"),
-            F.concat_ws(
-                ".",
-                F.lpad(project_number.cast("string"), 5, "0"),
-                F.left(F.rpad("p_type", 6, "_"), F.lit(6)),
-                F.lpad(F.col("n_nationkey").cast("string"), 4, "0"),
-            ).alias("CC"),
-            F.concat_ws(".", F.lit("3.1"), "l_returnflag", "l_linestatus").alias("NATUREZA"),
+        .withColumns(
+            {
+                "PROJETO": F.when(exclusive, F.col("s_name")).otherwise(F.col("p_brand")),
+                "ACAO": F.col("p_type"),
+                "numero": number,
+            }
         )
     )
+    return keyed.withColumns({"CC": _center_code(), "NATUREZA": _nature_code()})
 
 
 def _ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +137,7 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def planned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned value of each line under short keys; long texts are added after summing."""
     value = F.col("l_quantity").cast(QUANTITY) * F.col("p_retailprice").cast(UNIT_PRICE)
     return _ordered_lines(spark, sf_dir).select(
         F.year("o_orderdate").alias("ANO"),
@@ -144,36 +145,44 @@ def planned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "PROJETO",
         "ACAO",
         F.col("n_name").alias("UNIDADE"),
-        F.col("CC").alias("CODCCUSTO"),
-        F.col("NATUREZA").alias("Codigo_Natureza_Orcamentaria"),
-        _text_of(F.col("NATUREZA"), PLANNED_NATURES).alias("Descricao_Natureza_Orcamentaria"),
-        F.concat(F.lit("PPA "), F.year("o_orderdate")).alias("Descricao_PPA"),
-        value.cast(AMOUNT).alias("Valor_Ajustado"),
-        "o_orderpriority",
+        "numero",
+        "n_nationkey",
+        "l_returnflag",
         "l_linestatus",
+        "o_orderpriority",
+        value.cast(AMOUNT).alias("Valor_Ajustado"),
     )
 
 
 def summed(lines: DataFrame, *keys: str) -> DataFrame:
+    """Planned value per key."""
     return lines.groupBy(*keys).agg(F.sum("Valor_Ajustado").cast(AMOUNT).alias("Valor_Ajustado"))
 
 
-PLANNED_KEYS = (
-    "ANO",
-    "MES",
-    "PROJETO",
-    "ACAO",
-    "UNIDADE",
-    "CODCCUSTO",
-    "Codigo_Natureza_Orcamentaria",
-    "Descricao_Natureza_Orcamentaria",
-    "Descricao_PPA",
-)
+def _with_texts(planned: DataFrame) -> DataFrame:
+    """Nature and plan columns in place of the line flags."""
+    code = _nature_code()
+    return planned.withColumns(
+        {
+            "Codigo_Natureza_Orcamentaria": code,
+            "Descricao_Natureza_Orcamentaria": _text_of(code, PLANNED_NATURES),
+            "Descricao_PPA": F.concat(F.lit("PPA "), "ANO"),
+        }
+    ).drop("l_returnflag", "l_linestatus")
+
+
+def with_center(planned: DataFrame) -> DataFrame:
+    """Cost-centre code in place of the project number and nation key."""
+    return planned.withColumn("CODCCUSTO", _center_code()).drop("numero", "n_nationkey")
+
+
+_MONTHLY = ("ANO", "MES", "PROJETO", "ACAO", "UNIDADE", "l_returnflag", "l_linestatus")
 
 
 def planned_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Planned amounts that already carry their cost centre."""
-    return summed(planned_lines(spark, sf_dir), *PLANNED_KEYS)
+    lines = planned_lines(spark, sf_dir)
+    return with_center(_with_texts(summed(lines, *_MONTHLY, "numero", "n_nationkey")))
 
 
 def planned_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +191,7 @@ def planned_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority") == "1-URGENT", F.replace("PROJETO", F.lit("#"), F.lit(" "))
     ).otherwise(F.col("PROJETO"))
     lines = planned_lines(spark, sf_dir).withColumn("PROJETO", typed)
-    return summed(lines, *[k for k in PLANNED_KEYS if k != "CODCCUSTO"])
+    return _with_texts(summed(lines, *_MONTHLY))
 
 
 def planned_cube_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
