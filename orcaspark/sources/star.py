@@ -232,7 +232,7 @@ def cost_center_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         leaves.select("desde", F.inline(nodes))
         .groupBy(F.col("codigo").alias("CODCCUSTO"), F.col("nome").alias("CAMPOLIVRE"))
-        .agg(F.min("desde").cast("timestamp").alias("RECCREATEDON"))
+        .agg(F.min("desde").alias("RECCREATEDON"))
     )
 
 
