@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -34,23 +33,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="orcaspark-")
-
-
 def staging_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``.
+    """Shared folder for staged tables of this application.
 
-    Only a local session without that setting gets a temporary folder: other
-    machines of a cluster would not see it.
+    It lies in the folder ``spark.checkpoint.dir`` names, or beside the tables of
+    the session's own warehouse where that is unset: both are storage that the
+    session declares as shared, never a temporary folder of one machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_root()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/stages-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table this application has staged; results read from them end with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -58,7 +56,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Used where one result feeds several branches: they then read a columnar
     table (pruned, with real sizes for join planning) and a lost executor costs
-    a re-read, not a re-run of everything upstream.
+    a re-read, not a re-run of everything upstream. ``release`` drops all of them.
     """
     path = f"{staging_root(df.sparkSession)}/{label}-{uuid4().hex}"
     df.write.parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from orcaspark.session import with_settings  # noqa: E402
+from orcaspark.session import release, with_settings  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
     session = with_settings(builder).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

@@ -6,11 +6,13 @@ import pytest
 from conftest import SF
 
 import __spark_entry__ as contract
+from oracle import sql
 from oracle.compare import connect, differences
 from orcaspark.operators.ledger import supplier_month
+from orcaspark.plans import registry
 from orcaspark.schemas import LEDGER
 
-QUERIES, TWINS = contract.queries(), contract.oracle_sql()
+QUERIES, TWINS = registry.queries(), sql.statements()
 WITHOUT_TWIN = {"unit_json"}
 
 
@@ -29,6 +31,10 @@ def test_names():
     assert set(QUERIES) - set(TWINS) == WITHOUT_TWIN and set(TWINS) <= set(QUERIES)
 
 
+def test_contract_holds_every_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(TWINS) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.count() > 0 and "Valor_Planejado" in df.columns
