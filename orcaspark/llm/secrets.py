@@ -338,10 +338,13 @@ def written(spans: Column) -> Column:
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents: counts and digest of the base kinds, and all spans."""
     spans = F.col("spans")
-    base = F.filter(spans, lambda s: s["kind"].isin([r.kind for r in BASE_RULES]))
-    counts = [
-        F.size(F.filter(spans, lambda s, k=r.kind: s["kind"] == k)).cast("bigint").alias(f"n_{r.kind}") for r in BASE_RULES
-    ]
+    kinds = [rule.kind for rule in BASE_RULES]
+    base = F.filter(spans, lambda s: s["kind"].isin(kinds))
+    counts = [F.size(_of_kind(spans, kind)).cast("bigint").alias(f"n_{kind}") for kind in kinds]
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(spans).alias("spans")
     )
+
+
+def _of_kind(spans: Column, kind: str) -> Column:
+    return F.filter(spans, lambda s: s["kind"] == kind)
