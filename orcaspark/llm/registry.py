@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orcaspark.llm import bpe, html, licenses, mixing, secrets, urlrules
+from orcaspark.llm import bpe, html, licenses, mixing, secrets, toxicity, urlrules
 from orcaspark.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,7 @@ def shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: shipped(q) for q in (secrets.op1_secrets, bpe.op2_bpe, html.op5_html, mixing.op6_mixing, urlrules.op8_urls, licenses.op9_licenses)}
+    return {q.__name__: shipped(q) for q in (secrets.op1_secrets, bpe.op2_bpe, toxicity.op3_toxicity, html.op5_html, mixing.op6_mixing, urlrules.op8_urls, licenses.op9_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
