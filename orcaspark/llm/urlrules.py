@@ -44,6 +44,8 @@ RULES = (
 #: Least share of the labelled urls that a mined combination occurs in with its label, and
 #: least share of the urls with the combination that have the label.
 SUPPORT, CONFIDENCE = 0.005, 0.7
+#: Least number of such urls, so that few labelled urls don't make every combination a rule.
+LEAST = 10
 #: Verdict of urls that no rule fits.
 OTHERWISE = "allow"
 
@@ -68,37 +70,32 @@ def fixed_verdict(host: Column, path: Column, rules: tuple[FixedRule, ...]) -> C
 
 
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
-    """Distinct tokens of a url: host labels, words of them, path parts that aren't numbers, query keys."""
+    """Distinct tokens of a url: host labels, words of hyphenated ones, path parts without digits, query keys."""
     labels = F.split(host, r"\.")
-    top = F.transform(F.slice(labels, -2, 2), lambda x: F.concat(F.lit("site:"), x))
-    words = F.filter(F.split(host, r"[^a-z]+"), lambda x: F.length(x) > 1)
+    words = F.flatten(F.transform(F.filter(labels, lambda x: x.contains("-")), lambda x: F.split(x, "-")))
     parts = F.filter(F.split(path, "/"), lambda x: (x != "") & ~x.rlike(r"[0-9]"))
-    query = F.regexp_extract_all(url, F.lit(r"[?&]([^=&#]+)="), 1)
-    first = F.filter(F.array(F.get(labels, F.lit(0))), lambda x: F.size(labels) > 2)
-    return F.array_distinct(
-        F.concat(
-            F.when(F.size(labels) > 1, top).otherwise(F.array()),
-            F.transform(first, lambda x: F.concat(F.lit("sub:"), x)),
-            F.transform(words, lambda x: F.concat(F.lit("word:"), x)),
-            F.transform(parts, lambda x: F.concat(F.lit("path:"), x)),
-            F.transform(F.coalesce(query, F.array()), lambda x: F.concat(F.lit("key:"), x)),
-            F.array(F.when(host == "", "host:none").otherwise("host:some")),
-        )
-    )
+    keys = F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit(r"[?&]([^=&#]+)="), 1)
+    named = {"host:": F.when(host == "", F.array(F.lit("none"))).otherwise(labels), "word:": words, "path:": parts, "key:": keys}
+    return F.array_distinct(F.concat(*(_prefixed(prefix, column) for prefix, column in named.items())))
+
+
+def _prefixed(prefix: str, tokens: Column) -> Column:
+    return F.transform(F.filter(tokens, lambda x: x != ""), lambda x: F.concat(F.lit(prefix), x))
 
 
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
     """Association rules from ``tokens`` and ``verdict``: ``items``, ``verdict``, ``confidence``, ``support``.
 
-    FP-growth counts the combinations that occur in ``support`` of the rows at least,
-    among them those that hold a label. A rule with a subset of another's tokens, the same
+    FP-growth counts the combinations that occur in ``support`` of the rows and in
+    ``LEAST`` rows at least, among them those that hold a label. A rule with a subset of another's tokens, the same
     verdict and no less confidence makes the other needless.
     """
     items = labelled.select(F.array_append("tokens", F.concat(F.lit("label:"), "verdict")).alias("items"))
     rows = items.count()
     if not rows:
         return labelled.sparkSession.createDataFrame([], "items array<string>, verdict string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
+    growth = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, LEAST / rows)), minConfidence=confidence)
+    model = growth.fit(items)
     rules = model.associationRules.filter(
         F.get("consequent", F.lit(0)).startswith("label:") & ~F.exists("antecedent", lambda x: x.startswith("label:"))
     ).select(
