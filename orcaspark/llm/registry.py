@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orcaspark.llm import bpe, html, licenses, minhash, mixing, secrets, toxicity, urlrules, vecdedup
+from orcaspark.llm import ann, bpe, html, licenses, minhash, mixing, secrets, toxicity, urlrules, vecdedup
 from orcaspark.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,7 @@ def shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: shipped(q) for q in (secrets.op1_secrets, bpe.op2_bpe, toxicity.op3_toxicity, html.op5_html, mixing.op6_mixing, vecdedup.op7_vectors, urlrules.op8_urls, licenses.op9_licenses, minhash.op10_minhash)}
+    return {q.__name__: shipped(q) for q in (secrets.op1_secrets, bpe.op2_bpe, toxicity.op3_toxicity, ann.op4_neighbours, html.op5_html, mixing.op6_mixing, vecdedup.op7_vectors, urlrules.op8_urls, licenses.op9_licenses, minhash.op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:

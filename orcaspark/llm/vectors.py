@@ -182,7 +182,9 @@ class FlatGraph:
                 added += [(head, other), (other, head), (self.start, head), (head, self.start)]
         return np.array(added, dtype=np.int64).reshape(-1, 2)
 
-    def search(self, queries: np.ndarray, beam: int, radius: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def search(
+        self, queries: np.ndarray, beam: int, radius: float | np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Greedy search from the medoid for all queries at once, by squared distance.
 
         Expands the nearest unexpanded points among the ``beam`` nearest seen, several at a
