@@ -1,12 +1,76 @@
-"""Corpus pipeline over ``documents``; filled as its operators land."""
+"""Corpus pipeline: from ``documents`` to token ids, stage by stage.
+
+Each stage takes the rows its predecessor kept and its decisions take effect: toxic
+documents go, one document of each group of near-duplicates stays, secrets are masked,
+sources are mixed to their target weights, and what is left is encoded.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orcaspark.llm import bpe, minhash, mixing, secrets, toxicity
+from orcaspark.llm.common import ship, table
+from orcaspark.session import stage
+
+#: What stands for a secret in a text.
+MASK = "[SECRET]"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity stays below the threshold of their language; learnt from ``labels``."""
+    ship(spark)
+    docs = docs.select(*COLUMNS)
+    model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).filter(~F.col("flagged")).select(*COLUMNS)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    ship(spark)
+    return minhash.deduplicated(docs.select(*COLUMNS))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by ``MASK`` and ``n_chars`` counted anew where there was one."""
+    ship(spark)
+    masked = secrets.scan(docs.select(*COLUMNS), mask=MASK)
+    n_chars = F.when(F.size("spans") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return masked.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of the sources: a document comes out as often as it is taken, the last time maybe in part."""
+    ship(spark)
+    return mixing.mix(docs.select(*COLUMNS))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, and the digests of the ids and of the decoded bytes."""
+    ship(spark)
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.tokenize(docs, path, public_tokenizers.PATTERN, with_ids=True)
+
+
+STAGES = [
+    ("toxicity", keep_civil),
+    ("minhash", keep_one_of_each),
+    ("secrets", mask_secrets),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
 
-STAGES: list = []
+#: Training, alignment and apportionment aren't expressible in SQL; the tests hold the
+#: stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in turn over ``documents``; each result is written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, function in STAGES[:-1]:
+        docs = stage(function(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -16,6 +16,7 @@ from functools import lru_cache
 from pathlib import Path
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -301,7 +302,7 @@ def tokenize(docs: DataFrame, path: str, pattern: str, *, with_ids: bool = False
             ids_hashes.append(hashlib.sha256(ids.encode()).hexdigest())
             text_hashes.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
             if with_ids:
-                lists.append([int(i) for i in ids.split(" ")] if ids else [])
+                lists.append(np.array(ids.split(" ") if ids else [], dtype=np.int32))
         out = {
             "doc_id": batch["doc_id"],
             "n_tokens": pa.array(counts, pa.int64()),

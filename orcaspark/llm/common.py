@@ -7,9 +7,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parent.parent
 
@@ -53,17 +53,14 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Usable vectors of a list column as float64 rows, and the positions of their rows.
+def plain_names(df: DataFrame, needed: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with every column but the needed ones renamed, and a function that gives the names back.
 
-    Vectors that are null, empty, zero or hold null or non-finite components are left out,
-    and so are those of another length than ``width`` of the first usable one.
+    So columns an operator adds can't clash with extra ones of its input.
     """
-    rows, places = [], []
-    for place, vector in enumerate(column.to_pylist()):
-        if vector and None not in vector:
-            row = np.asarray(vector, dtype=np.float64)
-            if np.isfinite(row).all() and row.any():
-                rows.append(row)
-                places.append(place)
-    return (np.stack(rows) if rows else np.zeros((0, 0))), np.array(places, dtype=np.int64)
+    names = {c: c if c in needed else f"extra_{i}" for i, c in enumerate(df.columns)}
+
+    def back(out: DataFrame) -> DataFrame:
+        return out.select(*[F.col(f"`{new}`").alias(old) for old, new in names.items()])
+
+    return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()]), back

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orcaspark.llm.common import per_batch, table, texts
+from orcaspark.llm.common import per_batch, plain_names, table, texts
 from orcaspark.llm.graph import components
 from orcaspark.session import stage
 
@@ -334,6 +334,34 @@ def assigned(rows: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> Dat
     )
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each class: that with the class id, and one of rows that repeat it.
+
+    Rows whose text has no words all stay. Columns and their order are those of ``docs``.
+    """
+    docs, back = plain_names(docs, ("doc_id", "text"))
+    found = stage(classes(docs), "classes")
+    same = ["doc_id", "key"]
+    dropped = stage(found.filter(~F.col("kept")).select(*same).distinct(), "dropped")
+    named = keyed(docs)
+    left = named.join(renamed(dropped), matching(named), "left_anti")
+    repeated = found.filter("kept and key is not null").groupBy(*same).count().filter("count > 1").select(*same)
+    repeated = stage(repeated, "repeated")
+    if not repeated.isEmpty():
+        again = renamed(repeated)
+        once = left.join(again, matching(left), "left_anti")
+        left = once.union(left.join(again, matching(left), "left_semi").dropDuplicates(same))
+    return back(left)
+
+
+def renamed(ids: DataFrame) -> DataFrame:
+    return ids.select(F.col("doc_id").alias("that_id"), F.col("key").alias("that_key"))
+
+
+def matching(rows: DataFrame):
+    return rows["doc_id"].eqNullSafe(F.col("that_id")) & (rows["key"] == F.col("that_key"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return classes(table(spark, sf_dir, "documents")).drop("key")

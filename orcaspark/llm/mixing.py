@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orcaspark.llm.common import per_batch, table
+from orcaspark.llm.common import per_batch, plain_names, table
 from orcaspark.session import stage
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -245,6 +245,7 @@ def mix(docs: DataFrame, seed: int = 6, block: int = BLOCK) -> DataFrame:
     break). Where ``docs`` has ``n_chars`` it is counted anew for parts. Rows of which
     nothing is taken don't come out. Needs ``doc_id``, ``source``, ``text``.
     """
+    docs, back = plain_names(docs, ("doc_id", "source", "text", "n_chars"))
     sizes = stage(sized(docs.select("doc_id", "source", "text")), "sizes")
     sources, by_shard = plan(sizes, seed, block)
     columns = docs.columns
@@ -269,7 +270,7 @@ def mix(docs: DataFrame, seed: int = 6, block: int = BLOCK) -> DataFrame:
         return out[columns]
 
     docs = dealt(docs, sources.select("source", "src", "shards"), seed).join(by_shard, ["src", "shard"])
-    return docs.groupBy("src", "shard").applyInPandas(take, docs.select(*columns).schema)
+    return back(docs.groupBy("src", "shard").applyInPandas(take, docs.select(*columns).schema))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

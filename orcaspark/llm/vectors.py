@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orcaspark.llm.common import matrix, per_batch
+from orcaspark.llm.common import per_batch
 
 #: Vectors that centroids are fitted on: about so many, chosen by a hash of their id.
 SAMPLE = 20_000
