@@ -3,8 +3,9 @@
 A page is read as a sequence of words and tags. A word scores the share of words in the
 same kind of element that lie in the article of labelled pages, a tag costs by the share of
 its kind that lies outside. A linear scan finds the contiguous stretch with the greatest
-sum; its blocks of text, without those in elements that never belong to an article, are
-the main text. Labelled pages are those that mark their article with ``<article>``.
+sum; its blocks of text are the main text. Elements that never belong to an article,
+wherever they stand, are left out of the sequence. Labelled pages are those that mark
+their article with ``<article>``.
 """
 
 from __future__ import annotations
@@ -101,9 +102,10 @@ def blocks(page: str) -> list[Block]:
         if words:
             if current is None:
                 outside = any(h.outside for h in stack)
-                current = Block(tags, outside=outside, labelled=any(h.tag == "article" for h in stack) and not outside)
+                current = Block([] if outside else tags, outside=outside)
+                current.labelled = not outside and any(h.tag == "article" for h in stack)
                 found.append(current)
-                tags = []
+                tags = tags if outside else []
             current.runs.append((tuple(n for h in stack for n in h.names), words))
         if current is not None:
             current.pieces.append(text)
@@ -112,9 +114,7 @@ def blocks(page: str) -> list[Block]:
         if match.start() > place:
             add(page[place : match.start()])
         place = match.end()
-        if match[1]:
-            tags.append(match[1].lower())
-        if not match[3]:
+        if not match[3]:  # a comment, a declaration or a hidden element
             continue
         tag = match[3].lower()
         if tag == "br":
@@ -123,7 +123,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCKS:
             current = None
-        tags.append(tag)
+        outside = any(h.outside for h in stack)
         if match[2]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i].tag == tag:
@@ -136,6 +136,8 @@ def blocks(page: str) -> list[Block]:
                 stack.pop()
             if not match[4].endswith("/"):
                 stack.append(holder(tag, match[4]))
+        if not outside and not any(h.outside for h in stack):
+            tags.append(tag)
     if place < len(page):
         add(page[place:])
     return found
@@ -149,7 +151,9 @@ class Weights:
     tags: dict[str, float]
 
     def score(self, block: Block) -> tuple[float, float]:
-        """What the tags before a block cost, and what its words score."""
+        """What the tags before a block cost, and what its words score; nothing where no text is wanted."""
+        if block.outside:
+            return 0.0, 0.0
         cost = sum(LEAST_COST + TAG_COST * (1 - self.tags.get(t, UNSEEN)) for t in block.tags)
         words = sum(n * min((self.words.get(k, UNSEEN) for k in kinds), default=UNSEEN) for kinds, n in block.runs)
         return cost, words
