@@ -63,15 +63,23 @@ class Index:
                 found.append(chosen)
         return found
 
-    def probes(self, queries: np.ndarray, ratio: float) -> list[list[int]]:
-        """Lists whose centroid is at most ``ratio`` times as far as the nearest; searched through the graph."""
+    def probes(self, queries: np.ndarray, ratio: float, sizes: np.ndarray, least: int) -> list[list[int]]:
+        """Lists whose centroid is at most ``ratio`` times as far as the nearest; searched through the graph.
+
+        Where they hold fewer than ``least`` entries, the next nearest lists are added.
+        """
         found = []
         for block in blocks_of(self.aim(queries), 256):
             beam = min(16, len(self.graph.points))
             seen, ids = self.graph.search(block, beam)
             limit = ratio**2 * seen[np.arange(len(block)), ids[:, 0]] + 1e-12
             seen, _ = self.graph.search(block, beam, limit[:, None])
-            found += [np.flatnonzero(row).tolist() for row in seen <= limit[:, None]]
+            for query, near in zip(block, seen <= limit[:, None], strict=True):
+                if sizes[near].sum() < least:
+                    order = squared(query[None], self.graph.points)[0].argsort(kind="stable")
+                    enough = int(np.searchsorted(np.cumsum(sizes[order]), least)) + 1
+                    near[order[:enough]] = True
+                found.append(np.flatnonzero(near).tolist())
         return found
 
 
@@ -79,7 +87,7 @@ def build(vectors: DataFrame) -> Index:
     """Index of a staged table of ``vec_id``, ``vector``; fitted on about ``SAMPLE`` of its rows."""
     squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
     count, longest = vectors.agg(F.count("*"), F.max(squares)).first()
-    fitted = Index(None, longest or 0.0)
+    fitted = Index(None, longest)
     points = fitted.level(sample(vectors, count))
     lists = min(MOST_CENTROIDS, max(1, round(count / LIST)))
     fitted.graph = FlatGraph(balanced_centroids(points, lists))
@@ -186,6 +194,8 @@ def search(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY,
     them are compared in bounded shelves, so a hot list is spread over many tasks.
     """
     points = stage(usable(vectors.filter("vec_id is not null")), "vectors")
+    if points.isEmpty():
+        return points.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     is_query = F.col("vec_id") % every == 0
     index = build(points)
     postings = stage(posted(points, index), "postings")
@@ -199,13 +209,15 @@ def search(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY,
     sections = np.maximum(-(-sizes // SHELF), 1)
     spread = sizes // sections
     shelf_of = (np.cumsum(spread) - spread) // SHELF
-    sent = points.sparkSession.sparkContext.broadcast((index, ratio, shelf_of, sections))
+    # A vector is in REPLICAS lists at most, so these entries are enough other vectors.
+    least = REPLICAS * (neighbours + 1)
+    sent = points.sparkSession.sparkContext.broadcast((index, ratio, shelf_of, sections, sizes))
 
     def probe(batch: pa.RecordBatch) -> dict:
-        known, limit, shelves, parts = sent.value
+        known, limit, shelves, parts, filled = sent.value
         own = np.array(batch["vector"].to_pylist()).reshape(len(batch), -1)
         rows, keys, lists = [], [], []
-        for i, probes in enumerate(known.probes(own, limit) if len(batch) else []):
+        for i, probes in enumerate(known.probes(own, limit, filled, least) if len(batch) else []):
             by_shelf: dict[tuple[int, int], list[int]] = {}
             for c in probes:
                 for section in range(parts[c]):
@@ -233,7 +245,7 @@ def search(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY,
     )
 
     def place(batch: pa.RecordBatch) -> dict:
-        _, _, shelves, parts = sent.value
+        _, _, shelves, parts, _ = sent.value
         rows, lists, sections_ = [], [], []
         for i, (name, own) in enumerate(zip(batch["vec_id"].to_pylist(), batch["lists"].to_pylist(), strict=True)):
             for c in own:
