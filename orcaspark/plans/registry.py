@@ -1,6 +1,7 @@
 """Named queries over the order-entry star schema.
 
-Each takes ``(spark, sf_dir)`` and returns a lazy DataFrame over whole tables.
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over whole tables. Building one may
+run jobs: inputs that feed several branches are staged first.
 Amounts leave as double so that engines with other decimal rules compare equal.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DecimalType
 
 from orcaspark.functions.dates import year_bounds
-from orcaspark.lookups import nature_names
+from orcaspark.lookups import EXPENSE_GROUPS, nature_names
 from orcaspark.operators import base as categories
 from orcaspark.operators import correlate, enrich, keys, ledger, merge, quality, reconcile, repair
 from orcaspark.operators import reports, units
@@ -24,6 +25,7 @@ from orcaspark.session import stage, tune
 from orcaspark.sinks.extracts import brazilian
 from orcaspark.sources import star
 from orcaspark.sources.lookup_files import json_map_rows
+from orcaspark.sources.tables import empty
 
 YEAR = 1997
 PPA = f"PPA {YEAR}"
@@ -87,9 +89,8 @@ def executed_monthly(spark, d):
 
 
 def executed_semi(spark, d):
-    postings = star.ledger(spark, d)
-    groups = postings.select("DESCNVL1").distinct().filter(F.col("DESCNVL1").startswith("DESP"))
-    return ledger.executed_monthly_of(postings, *year_bounds(YEAR), groups)
+    groups = spark.createDataFrame([(g,) for g in EXPENSE_GROUPS], "DESCNVL1 string")
+    return ledger.executed_monthly_of(star.ledger(spark, d), *year_bounds(YEAR), groups)
 
 
 def supplier_month(spark, d):
@@ -245,7 +246,7 @@ def correct_again(spark, d):
     """Enriched without corrections, then once more with them."""
     prepared = keys.prepare_keys(star.planned_raw(spark, d))
     fixes, centers = star.corrections(spark, d), reference(spark, d)
-    first = enrich.enrich_planned(keys.apply_corrections(prepared, fixes.limit(0)), centers)
+    first = enrich.enrich_planned(keys.apply_corrections(prepared, empty(spark, fixes.schema)), centers)
     return enrich.correct_again(first, centers, fixes)
 
 
