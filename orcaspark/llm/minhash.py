@@ -10,8 +10,6 @@ candidates; a banded alignment of their words verifies them.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +25,8 @@ SHINGLE, FUNCTIONS, SIMILARITY, ROUNDS = 5, 32, 0.8, 2
 VALUES, KEPT = 4_000_000, 500_000
 #: Cells of an alignment row computed at a time, and the band tried first.
 CELLS, FIRST_BAND = 200_000, 12
+#: Pairs of texts that are words in memory at a time.
+PAIRS = 256
 
 _rng = np.random.default_rng(10)
 _ODD = _rng.integers(1 << 62, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -121,10 +121,12 @@ def sketched(docs: DataFrame) -> DataFrame:
 # -- Alignment ---------------------------------------------------------------------------
 
 
-def fewest_edits(a: list, b: list) -> int:
-    """Lower bound of the edit distance: items that one list has more often than the other."""
-    left, right = Counter(a), Counter(b)
-    return max((left - right).total(), (right - left).total())
+def numbered(a: list[str], b: list[str]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Words as numbers, and a lower bound of the edits: words that one text has more often than the other."""
+    numbers: dict[str, int] = {}
+    x, y = (np.array([numbers.setdefault(w, len(numbers)) for w in t], dtype=np.int32) for t in (a, b))
+    more = np.bincount(x, minlength=len(numbers)) - np.bincount(y, minlength=len(numbers))
+    return x, y, int(max(more[more > 0].sum(), -more[more < 0].sum()))
 
 
 def banded(first: list[np.ndarray], second: list[np.ndarray], band: int) -> np.ndarray:
@@ -135,8 +137,8 @@ def banded(first: list[np.ndarray], second: list[np.ndarray], band: int) -> np.n
     sizes = np.array([len(x) for x in first])
     others = np.array([len(x) for x in second])
     rows, width = int(sizes.max(initial=0)), 2 * band + 1
-    a = np.full((len(first), rows), -1, dtype=np.int64)
-    b = np.full((len(second), rows + width), -2, dtype=np.int64)
+    a = np.full((len(first), rows), -1, dtype=np.int32)
+    b = np.full((len(second), rows + width), -2, dtype=np.int32)
     for i, (x, y) in enumerate(zip(first, second, strict=True)):
         a[i, : len(x)] = x
         y = y[: rows + width - band]
@@ -165,15 +167,16 @@ def similar(pairs: list[tuple[list[str], list[str]]], least: float = SIMILARITY)
     A narrow band decides most pairs; the rest get the band that the allowed edits need.
     """
     found = [False] * len(pairs)
-    numbers: dict[str, int] = {}
     open_pairs = []
     for i, (a, b) in enumerate(pairs):
         longer = max(len(a), len(b))
         allowed = int((1 - least) * longer + 1e-9)
         if a == b:
             found[i] = True
-        elif abs(len(a) - len(b)) <= allowed and fewest_edits(a, b) <= allowed:
-            x, y = (np.array([numbers.setdefault(w, len(numbers)) for w in t], dtype=np.int64) for t in (a, b))
+        elif abs(len(a) - len(b)) <= allowed:
+            x, y, fewest = numbered(a, b)
+            if fewest > allowed:
+                continue
             shorter = min(len(x), len(y))
             differ = np.flatnonzero(x[:shorter] != y[:shorter])
             start = differ[0] if len(differ) else shorter
@@ -211,10 +214,12 @@ def verified(pairs: DataFrame, wording: DataFrame, least: float = SIMILARITY) ->
     both = b.join(wording.select(F.col("key").alias("a"), F.col("text").alias("a_text")), "a")
 
     def convert(batch: pa.RecordBatch) -> dict:
-        words = [
-            (words_of(x), words_of(y)) for x, y in zip(batch["a_text"].to_pylist(), batch["b_text"].to_pylist(), strict=True)
-        ]
-        linked = pa.array(similar(words, least), pa.bool_())
+        linked = []
+        for begin in range(0, len(batch), PAIRS):
+            few = batch.slice(begin, PAIRS)
+            texts_of_few = zip(few["a_text"].to_pylist(), few["b_text"].to_pylist(), strict=True)
+            linked += similar([(words_of(x), words_of(y)) for x, y in texts_of_few], least)
+        linked = pa.array(linked, pa.bool_())
         return {"a": batch["a"].filter(linked), "b": batch["b"].filter(linked)}
 
     return per_batch(both.select("a", "b", "a_text", "b_text"), convert, "a binary, b binary").distinct()
