@@ -6,14 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orcaspark.functions import slug, standard_unit, strip_ws
-from orcaspark.operators.rows import first_by_key, last_by_key, lookup_join
+from orcaspark.operators.rows import first_by_key, last_by_key, lookup_join, reading_order
 
 EXCLUSIVE = "Exclusivo"
 SHARED = "Compartilhado"
 
 
 def unit_lookup(unit_map: DataFrame, position: str | None = None) -> DataFrame:
-    """Unit map keyed by trimmed upper-case name, one row per name."""
+    """Unit map keyed by trimmed upper-case name, one row per name: the last one read.
+
+    Without an order (``position``, or the readers' ``linha``) it is the greatest text.
+    """
+    position = reading_order(unit_map, position)
     key = F.upper(strip_ws(F.col("nm_unidade_padronizada")))
     keyed = unit_map.withColumn("unidade_padrao", key)
     if position:
@@ -62,7 +66,11 @@ def analysis_base(
 
 
 def directory_lookup(directory: DataFrame, position: str | None = None) -> DataFrame:
-    """Unit directory with trimmed texts, keyed by upper-case unit, one row per unit."""
+    """Unit directory with trimmed texts, keyed by upper-case unit, one row per unit: the last one read.
+
+    Without an order (``position``, or the readers' ``linha``) it is the smallest row.
+    """
+    position = reading_order(directory, position)
     texts = {c: strip_ws(F.coalesce(F.col(c), F.lit(""))) for c in directory.columns if c != position}
     clean = directory.withColumns(texts).withColumn("unidade", F.upper("unidade"))
     if position:

@@ -11,7 +11,7 @@ from orcaspark.functions import clean_text, coerce_int, join_key, key_part, stri
 from orcaspark.functions.dates import year_of
 from orcaspark.functions.text import UNIT_PREFIX
 from orcaspark.lookups import PLANNED_CAPTIONS
-from orcaspark.operators.rows import last_by_key, lookup_join, require_columns
+from orcaspark.operators.rows import last_by_key, lookup_join, reading_order, require_columns
 
 KEY_PARTS = ["PROJETO", "ACAO", "UNIDADE"]
 MATCH_KEYS = [*KEY_PARTS, "ANO"]
@@ -61,6 +61,7 @@ def prepare_keys(df: DataFrame, parts: Sequence[str] = tuple(KEY_PARTS)) -> Data
 def unique_corrections(corrections: DataFrame, position: str | None = None) -> DataFrame:
     """One repair per broken key: the last read if the order is known, else the greatest text."""
     wanted = corrections.filter(F.col("ChaveQuebrada").isNotNull())
+    position = reading_order(corrections, position)
     if position:
         wanted = last_by_key(wanted, ["ChaveQuebrada"], position)
         return wanted.select("ChaveQuebrada", "ChaveCorreta")

@@ -288,15 +288,20 @@ def heatmap(df: DataFrame, project_type: str = EXCLUSIVE) -> DataFrame:
 
 
 def heatmap_pivot(
-    df: DataFrame, natures: Sequence[str], project_type: str = EXCLUSIVE
+    df: DataFrame, natures: Sequence[str] | None = None, project_type: str = EXCLUSIVE
 ) -> DataFrame:
-    """``heatmap`` with one column per given nature; cells without a plan stay null."""
-    return (
-        heatmap(df, project_type)
-        .groupBy(UNIT, PROJECT)
-        .pivot(NATURE, list(natures))
-        .agg(F.avg("perc_exec"))
-    )
+    """``heatmap`` with one column per nature; cells without a plan stay null.
+
+    ``natures`` fixes the columns and must name every nature that has a cell, else
+    ``ValueError`` tells the others; without it the columns are those of the data, by name.
+    """
+    cells = heatmap(df, project_type)
+    found = sorted(r[0] for r in cells.select(NATURE).distinct().collect())
+    unlisted = [n for n in found if natures is not None and n not in natures]
+    if unlisted:
+        raise ValueError(f"natures without a column: {unlisted}")
+    columns = found if natures is None else list(natures)
+    return cells.groupBy(UNIT, PROJECT).pivot(NATURE, columns).agg(F.avg("perc_exec"))
 
 
 def inertia(df: DataFrame, project_type: str = EXCLUSIVE) -> DataFrame:

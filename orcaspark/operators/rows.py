@@ -58,6 +58,15 @@ def lookup_join(
     return joined.drop("_marca")
 
 
+#: Column that readers add: the place of a row in its file.
+READING_ORDER = "linha"
+
+
+def reading_order(df: DataFrame, position: str | None = None) -> str | None:
+    """The column that tells which of two equal keys was read last: the given one, or the readers' own."""
+    return position or (READING_ORDER if READING_ORDER in df.columns else None)
+
+
 def not_null(df: DataFrame, *columns: str) -> DataFrame:
     """Rows whose key columns are all present (groupings ignore missing keys)."""
     return df.na.drop(subset=list(columns))

@@ -6,12 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orcaspark.operators import correlate, units
+from orcaspark.operators import correlate, reports, units
 from orcaspark.operators.base import unit_names
 from orcaspark.operators.enrich import (
     CONSOLIDATION_KEYS,
     committed_flow,
     consolidate,
+    correct_again,
     flatten_cost_centers,
     planned_flow,
 )
@@ -20,6 +21,7 @@ from orcaspark.operators.ledger import supplier_month
 from orcaspark.operators.quality import usable
 from orcaspark.operators.repair import suggest_corrections
 from orcaspark.operators.reports import report_cube
+from orcaspark.operators.rows import rejected
 from orcaspark.plans.analysis import DEFAULT_PPA, DEFAULT_YEAR, Sides, build_base
 from orcaspark.session import stage, tune
 from orcaspark.sinks.extracts import write_brazilian_csv, write_unit_documents, write_unit_extracts
@@ -34,15 +36,30 @@ class Enriched:
     planned: DataFrame | None
     committed: DataFrame | None
     suggestions: DataFrame
+    rejected_planned: DataFrame
+    rejected_committed: DataFrame
 
 
-def save(enriched: DataFrame, table: VersionedTable) -> DataFrame | None:
-    """Consolidate an enriched flow and upsert it by the consolidation keys present."""
-    if not usable(enriched):
-        return table.read()
-    rows = consolidate(enriched)
-    upsert(table, rows, [c for c in CONSOLIDATION_KEYS if c in rows.columns])
-    return table.read()
+#: Plan label of planned rows without one: a load needs complete keys, and no amount is lost.
+NO_PLAN = "SEM PPA"
+
+
+def save(enriched: DataFrame, table: VersionedTable) -> tuple[DataFrame | None, DataFrame]:
+    """Consolidate an enriched flow and upsert it by the consolidation keys present.
+
+    Rows without a plan label are saved under ``NO_PLAN``. Returns the table and the rows
+    left out for another missing key, which are also written beside it.
+    """
+    if "Descricao_PPA" in enriched.columns:
+        enriched = enriched.fillna({"Descricao_PPA": NO_PLAN})
+    keys = [c for c in CONSOLIDATION_KEYS if c in enriched.columns]
+    left_out = rejected(enriched, *keys)
+    left_out.write.mode("overwrite").parquet(f"{table.root}/rejeitados")
+    left_out = enriched.sparkSession.read.schema(left_out.schema).parquet(f"{table.root}/rejeitados")
+    if usable(enriched):
+        rows = consolidate(enriched)
+        upsert(table, rows, [c for c in CONSOLIDATION_KEYS if c in rows.columns])
+    return table.read(), left_out
 
 
 def run_enrichment(
@@ -52,21 +69,25 @@ def run_enrichment(
     committed: DataFrame,
     corrections: DataFrame,
     out: str,
+    accepted: DataFrame | None = None,
 ) -> Enriched:
     """Resolve planned and committed amounts to cost centres and save both under ``out``.
 
     The prepared cost-centre reference serves both flows and each flow several
-    readers, so they are staged once.
+    readers, so they are staged once. ``accepted`` holds reviewed repairs
+    (``ChaveQuebrada, ChaveCorreta``): the planned rows get a second pass with them, and
+    the suggestions are for what is still unmatched.
     """
     tune(spark)
     reference = stage(prepare_keys(flatten_cost_centers(cost_center_raw)), "centros")
     planned = stage(planned_flow(planned_raw, reference, corrections), "planejado")
+    if accepted is not None:
+        planned = stage(correct_again(planned, reference, accepted), "planejado")
     booked = stage(committed_flow(committed, reference, corrections), "comprometido")
-    return Enriched(
-        save(planned, VersionedTable(spark, f"{out}/planejado_com_centro")),
-        save(booked, VersionedTable(spark, f"{out}/comprometido_com_centro")),
-        suggest_corrections(unmatched_keys(planned, reference), reference),
-    )
+    saved, no_centre = save(planned, VersionedTable(spark, f"{out}/planejado_com_centro"))
+    saved_booked, no_leaf = save(booked, VersionedTable(spark, f"{out}/comprometido_com_centro"))
+    suggestions = suggest_corrections(unmatched_keys(planned, reference), reference)
+    return Enriched(saved, saved_booked, suggestions, no_centre, no_leaf)
 
 
 def run_reports(
@@ -94,6 +115,15 @@ def run_reports(
     booked = correlate.committed_extract(committed, base, year)
     write_unit_extracts(booked, names, f"{out}/correlacao_comprometido")
     write_unit_documents(units.unit_documents(cube, names), f"{out}/graficos")
+    tables = {
+        "indicadores": reports.kpi_text(base, names),
+        "hierarquia": reports.sunburst(base),
+        "mapa_de_execucao": reports.heatmap(base),
+        "inercia": reports.inertia_worst(base),
+        "maiores_fornecedores": correlate.top_suppliers(supplier_month(ledger, year), base),
+    }
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{out}/{name}")
     write_brazilian_csv(base, f"{out}/relatorio_final")
 
 

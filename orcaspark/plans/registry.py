@@ -19,7 +19,7 @@ from orcaspark.lookups import EXPENSE_GROUPS, nature_names
 from orcaspark.operators import base as categories
 from orcaspark.operators import correlate, enrich, keys, ledger, merge, quality, reconcile, repair
 from orcaspark.operators import reports, units
-from orcaspark.operators.rows import rejected
+from orcaspark.operators.rows import READING_ORDER, rejected
 from orcaspark.plans.analysis import Sides, both_sides, build_base, planned_vs_executed
 from orcaspark.session import stage, tune
 from orcaspark.sinks.extracts import brazilian
@@ -267,6 +267,26 @@ def unit_directory(spark, d):
     return categories.directory_lookup(star.unit_directory(spark, d))
 
 
+def read_twice(df: DataFrame, column: str) -> DataFrame:
+    """A lookup whose every row stands twice, first with another text, with its reading order."""
+    first = df.withColumn(column, F.concat(F.lit("ZZ "), F.col(column))).withColumn(READING_ORDER, F.lit(0))
+    return first.unionByName(df.withColumn(READING_ORDER, F.lit(1)))
+
+
+def last_unit_map(spark, d):
+    """The last of a unit's rows counts."""
+    return categories.unit_lookup(read_twice(star.unit_map(spark, d), "final"))
+
+
+def last_unit_names(spark, d):
+    directory = read_twice(star.unit_directory(spark, d), "nome_novo")
+    return categories.unit_names(base(spark, d), directory)
+
+
+def last_corrections(spark, d):
+    return keys.unique_corrections(read_twice(star.corrections(spark, d), "ChaveCorreta"))
+
+
 def money_texts(spark, d):
     return correlate.with_money_texts(committed(spark, d).withColumnRenamed("COMPROMETIDO", "SALDO"))
 
@@ -345,6 +365,9 @@ def queries() -> dict[str, Query]:
         "base_rejects": base_rejects,
         "unit_cost_centers": on_base(correlate.unit_cost_centers),
         "unit_directory": unit_directory,
+        "last_unit_map": last_unit_map,
+        "last_unit_names": last_unit_names,
+        "last_corrections": last_corrections,
         "money_texts": money_texts,
         "brazilian_text": on_base(brazilian),
         "json_map_rows": json_map,

@@ -10,10 +10,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from orcaspark.functions import strip_ws
 from orcaspark.lookups import NATURE_STANDARD, NATURE_TEXT
-from orcaspark.operators.rows import last_by_key, require_columns
+from orcaspark.operators.rows import READING_ORDER, last_by_key, require_columns
 
 SURPLUS = "excesso"
-POSITION = "linha"
+POSITION = READING_ORDER
 BYTE_ORDER_MARK = "\ufeff"
 
 
@@ -74,9 +74,17 @@ def json_map_rows(df: DataFrame, column: str, keep: Sequence[str] = ()) -> DataF
 
 
 def read_json_map(spark: SparkSession, path: str) -> DataFrame:
-    """Correction rows of a file that holds one JSON object."""
-    rows = json_map_rows(spark.read.text(path, wholetext=True), "value")
-    return rows.groupBy("ChaveQuebrada").agg(F.max("ChaveCorreta").alias("ChaveCorreta"))
+    """Correction rows of a file that holds one JSON object; of a repeated name the last entry counts.
+
+    A JSON object is one value, so the file is read by one task: it suits the correction
+    files it is meant for, not data of any size.
+    """
+    text = spark.read.text(path, wholetext=True)
+    entries = F.map_entries(F.from_json("value", "map<string,string>"))
+    rows = text.select(F.posexplode(entries).alias(POSITION, "entrada")).select(
+        F.col("entrada.key").alias("ChaveQuebrada"), F.col("entrada.value").alias("ChaveCorreta"), POSITION
+    )
+    return last_by_key(rows, ["ChaveQuebrada"], POSITION).drop(POSITION)
 
 
 __all__ = [

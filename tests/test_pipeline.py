@@ -38,6 +38,34 @@ def test_enrichment_run_without_usable_rows(spark, tmp_path):
     assert result.planned is None and result.committed is None
 
 
+def test_enrichment_run_saves_rows_without_plan_label_and_returns_rejects(spark, tmp_path):
+    planned = star.planned_raw(spark, SF).withColumn(
+        "Descricao_PPA", F.when(F.col("MES") > 6, F.col("Descricao_PPA"))
+    )
+    result = pipeline.run_enrichment(
+        spark,
+        planned,
+        star.cost_center_raw(spark, SF),
+        registry.committed(spark, SF),
+        star.corrections(spark, SF),
+        str(tmp_path / "run"),
+    )
+    assert not result.planned.filter(F.col("Descricao_PPA") == pipeline.NO_PLAN).isEmpty()
+    kept = result.planned.agg(F.sum("Valor_Ajustado")).first()[0]
+    left = result.rejected_planned.agg(F.coalesce(F.sum("Valor_Ajustado"), F.lit(0))).first()[0]
+    assert abs(kept + left - planned.agg(F.sum("Valor_Ajustado")).first()[0]) < 0.01
+
+
+def test_accepted_repairs_get_a_second_pass(spark, tmp_path):
+    fixes = star.corrections(spark, SF)
+    inputs = (star.planned_raw(spark, SF), star.cost_center_raw(spark, SF), registry.committed(spark, SF))
+    rejects = [
+        pipeline.run_enrichment(spark, *inputs, first, str(tmp_path / name), accepted).rejected_planned.count()
+        for name, first, accepted in (("a", fixes.filter("false"), None), ("b", fixes.filter("false"), fixes), ("c", fixes, None))
+    ]
+    assert rejects[0] > rejects[1] == rejects[2]
+
+
 def test_report_run(spark, tmp_path):
     sides = registry.sides(spark, SF)
     pipeline.run_reports(
@@ -57,4 +85,6 @@ def test_report_run(spark, tmp_path):
     assert json.loads(document)["trend"]["labels"][0] == "Jan"
     suppliers = spark.read.parquet(str(tmp_path / "correlacao_fornecedores"))
     assert suppliers.count() == registry.supplier_extract(spark, SF).count()
+    for name in ("indicadores", "hierarquia", "mapa_de_execucao", "inercia", "maiores_fornecedores"):
+        assert not spark.read.parquet(str(tmp_path / name)).isEmpty()
     assert as_dicts(spark.read.csv(str(tmp_path / "relatorio_final"), sep=";", header=True).limit(1))
