@@ -56,7 +56,7 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def sides(spark: SparkSession, d: str) -> Sides:
-    return both_sides(star.planned_enriched(spark, d), star.ledger(spark, d), YEAR, PPA)
+    return both_sides(star.planned_enriched(spark, d, YEAR), star.ledger(spark, d), YEAR, PPA)
 
 
 def base(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +68,7 @@ def reference(spark: SparkSession, d: str) -> DataFrame:
 
 
 def committed(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.committed_items(star.commit_header(spark, d), star.commit_item(spark, d), YEAR)
+    return enrich.committed_items(star.commit_header(spark, d, YEAR), star.commit_item(spark, d, YEAR), YEAR)
 
 
 def corrected(spark: SparkSession, d: str) -> DataFrame:
@@ -128,7 +128,7 @@ def reconcile_filtered(spark, d):
 
 def reconcile_function(spark, d):
     """The same through the SQL table function."""
-    star.planned_enriched(spark, d).createOrReplaceTempView("planejado_com_centro")
+    star.planned_enriched(spark, d, YEAR).createOrReplaceTempView("planejado_com_centro")
     star.ledger(spark, d).createOrReplaceTempView("razao")
     names = reconcile.nature_table(nature_names(spark))
     names.createOrReplaceTempView("naturezas_padrao")

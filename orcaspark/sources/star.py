@@ -106,8 +106,19 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.withColumns({"CC": _center_code(), "NATUREZA": _nature_code()})
 
 
-def _ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+def orders_of(spark: SparkSession, sf_dir: str, year: int | None) -> DataFrame:
+    """Orders of one year, as a date range that reaches the scan; of all years without one."""
+    orders = table(spark, sf_dir, "orders")
+    if year is None:
+        return orders
+    placed = F.col("o_orderdate")
+    return orders.filter(
+        (placed >= F.to_timestamp(F.lit(f"{year}-01-01"))) & (placed < F.to_timestamp(F.lit(f"{year + 1}-01-01")))
+    )
+
+
+def _ordered_lines(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
+    orders = orders_of(spark, sf_dir, year).select("o_orderkey", "o_orderdate", "o_orderpriority")
     return order_lines(spark, sf_dir).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
@@ -136,10 +147,10 @@ def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def planned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def planned_lines(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """Planned value of each line under short keys; long texts are added after summing."""
     value = F.col("l_quantity").cast(QUANTITY) * F.col("p_retailprice").cast(UNIT_PRICE)
-    return _ordered_lines(spark, sf_dir).select(
+    return _ordered_lines(spark, sf_dir, year).select(
         F.year("o_orderdate").alias("ANO"),
         F.month("o_orderdate").alias("MES"),
         "PROJETO",
@@ -179,9 +190,9 @@ def with_center(planned: DataFrame) -> DataFrame:
 _MONTHLY = ("ANO", "MES", "PROJETO", "ACAO", "UNIDADE", "l_returnflag", "l_linestatus")
 
 
-def planned_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def planned_enriched(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """Planned amounts that already carry their cost centre."""
-    lines = planned_lines(spark, sf_dir)
+    lines = planned_lines(spark, sf_dir, year)
     return with_center(_with_texts(summed(lines, *_MONTHLY, "numero", "n_nationkey")))
 
 
@@ -236,26 +247,20 @@ def cost_center_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def commit_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commit_header(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """One budget commitment per order, booked on the first truncated code of its lines."""
-    codes = (
-        order_lines(spark, sf_dir)
-        .groupBy("l_orderkey")
+    return (
+        _ordered_lines(spark, sf_dir, year)
+        .groupBy("o_orderkey", F.year("o_orderdate").alias("ANOORCAMENTO"))
         .agg(F.min(F.left("CC", F.lit(12))).alias("CODCCUSTO"))
-    )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return orders.join(codes, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.lit(1).alias("CODCOLIGADA"),
-        F.col("o_orderkey").alias("IDORCAMENTO"),
-        "CODCCUSTO",
-        F.year("o_orderdate").alias("ANOORCAMENTO"),
+        .select(F.lit(1).alias("CODCOLIGADA"), F.col("o_orderkey").alias("IDORCAMENTO"), "CODCCUSTO", "ANOORCAMENTO")
     )
 
 
-def commit_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+def commit_item(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """One committed amount per order line, in the month of the order."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_tax", "l_extendedprice")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    orders = orders_of(spark, sf_dir, year).select("o_orderkey", "o_orderdate")
     value = F.col("l_tax").cast(RATE) * F.col("l_extendedprice").cast(PRICE)
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.lit(1).alias("CODCOLIGADA"),

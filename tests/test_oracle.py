@@ -71,6 +71,13 @@ def test_date_range_reaches_the_scan(spark, tmp_path):
     assert re.findall(r"(\w+):", read) == ["DATA", "CC", "DESCNVL1", "FORNECEDOR", "VALOR"]
 
 
+@pytest.mark.parametrize("name", ["committed_items", "reconcile_function"])
+def test_year_reaches_the_scan_of_orders(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "o_orderdate" in line]
+    assert scans and all("GreaterThanOrEqual(o_orderdate,1997" in s for s in scans)
+
+
 def test_one_scan_feeds_both_branches_of_a_report(spark):
     plan = final_plan(QUERIES["treemap"](spark, SF))
     assert "ReusedExchange" in plan
