@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -11,20 +11,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orcaspark.session import staging_root
+
 PACKAGE = Path(__file__).resolve().parent.parent
 
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once per application (through the driver's file server)."""
+    """Send this package to the executors once per application, by an archive in the shared folder."""
     context = spark.sparkContext
     if context.applicationId not in _shipped:
-        archive = Path(tempfile.mkdtemp()).resolve() / f"{PACKAGE.name}.zip"
+        archive = io.BytesIO()
         with zipfile.ZipFile(archive, "w") as out:
             for path in sorted(PACKAGE.rglob("*.py")):
                 out.write(path, path.relative_to(PACKAGE.parent))
-        context.addPyFile(str(archive))
+        place = context._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/{PACKAGE.name}.zip")
+        stream = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place, True)
+        stream.write(bytearray(archive.getvalue()))
+        stream.close()
+        context.addPyFile(place.toString())
         _shipped.add(context.applicationId)
     return spark
 

@@ -17,6 +17,7 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -188,6 +189,15 @@ def run_of_blocks(sizes: np.ndarray, quota: int, block: int, key: str) -> tuple[
     return int(whole), ranges
 
 
+def in_order(part: pa.Table, last: str) -> pa.Table:
+    """A shard's rows by their seeded place, then by id and by one more column."""
+    return part.take(pc.sort_indices(part, sort_keys=[(c, "ascending") for c in ("place", "doc_id", last)]))
+
+
+def seed_of(part: pa.Table, seed: int) -> str:
+    return f"{seed}:{part['src'][0].as_py()}:{part['shard'][0].as_py()}"
+
+
 def plan(sizes: DataFrame, seed: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """Sources with their targets, and quotas by shard, from a staged table of ``source``, ``doc_id``, ``size``."""
     sources = stage(targets(sizes), "sources")
@@ -216,17 +226,15 @@ def taken(docs: DataFrame, seed: int = 6, block: int = BLOCK) -> DataFrame:
     sizes = stage(sized(docs.select("doc_id", "source", "text")), "sizes")
     sources, by_shard = plan(sizes, seed, block)
 
-    def take(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["place", "doc_id", "size"], kind="stable")
-        key = f"{seed}:{part['src'].iloc[0]}:{part['shard'].iloc[0]}"
+    def take(part: pa.Table) -> pa.Table:
+        part = in_order(part, "size")
         size = part["size"].to_numpy()
-        whole, ranges = run_of_blocks(size, int(part["quota"].iloc[0]), block, key)
+        whole, ranges = run_of_blocks(size, part["quota"][0].as_py(), block, seed_of(part, seed))
         more = (ranges[:, :, 1] - ranges[:, :, 0]).sum(axis=1)
-        part = part.assign(taken=whole * size + more)
-        return part[["doc_id", "size", "source_size", "target", "taken"]]
+        return part.select(["doc_id", "size", "source_size", "target"]).append_column("taken", pa.array(whole * size + more))
 
     rows = dealt(sizes, sources, seed).join(by_shard, ["src", "shard"])
-    return rows.groupBy("src", "shard").applyInPandas(
+    return rows.groupBy("src", "shard").applyInArrow(
         take, "doc_id bigint, size bigint, source_size bigint, target double, taken bigint"
     )
 
@@ -250,13 +258,12 @@ def mix(docs: DataFrame, seed: int = 6, block: int = BLOCK) -> DataFrame:
     sources, by_shard = plan(sizes, seed, block)
     columns = docs.columns
 
-    def take(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["place", "doc_id", "text"], kind="stable")
-        key = f"{seed}:{part['src'].iloc[0]}:{part['shard'].iloc[0]}"
-        size = word_counts(pa.array(part["text"], pa.string()))
-        whole, ranges = run_of_blocks(size, int(part["quota"].iloc[0]), block, key)
+    def take(part: pa.Table) -> pa.Table:
+        part = in_order(part, "text")
+        size = word_counts(part["text"].combine_chunks())
+        whole, ranges = run_of_blocks(size, part["quota"][0].as_py(), block, seed_of(part, seed))
         texts, rows = [], []
-        for i, text in enumerate(part["text"]):
+        for i, text in enumerate(part["text"].to_pylist()):
             if size[i]:
                 spans = [(a, b) for a, b in ranges[i].tolist() if b > a]
                 once = [text] if sum(b - a for a, b in spans) == size[i] else []
@@ -264,13 +271,14 @@ def mix(docs: DataFrame, seed: int = 6, block: int = BLOCK) -> DataFrame:
                     once = ["\n".join(words_between(text, a, b) for a, b in sorted(spans))]
                 texts += [text] * whole + once
                 rows += [i] * (whole + len(once))
-        out = part.iloc[rows].assign(text=texts)
+        out = part.select(columns).take(pa.array(rows, pa.int64()))
+        out = out.set_column(columns.index("text"), "text", pa.array(texts, pa.string()))
         if "n_chars" in columns:
-            out["n_chars"] = [len(t) for t in texts]
-        return out[columns]
+            out = out.set_column(columns.index("n_chars"), "n_chars", pa.array([len(t) for t in texts], pa.int64()))
+        return out
 
     docs = dealt(docs, sources.select("source", "src", "shards"), seed).join(by_shard, ["src", "shard"])
-    return back(docs.groupBy("src", "shard").applyInPandas(take, docs.select(*columns).schema))
+    return back(docs.groupBy("src", "shard").applyInArrow(take, docs.select(*columns).schema))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
