@@ -29,6 +29,30 @@ def _per_type(rows: DataFrame, order: list[Column], fields: dict[str, Column], n
     ]
 
 
+#: Blocks of a document and the list of each that goes with its labels.
+BLOCK_VALUES = {
+    "trend": "total",
+    "treemap_exclusivo": "values",
+    "treemap_compartilhado": "values",
+    "idle_budget": "values_exclusivo",
+    "unplanned_exclusivo": "values",
+    "unplanned_compartilhado": "values",
+}
+
+
+def document_rows(documents: DataFrame) -> DataFrame:
+    """Documents read back: ``UNIDADE_FINAL, bloco, posicao`` (from 0), ``rotulo, valor``."""
+    schema = ", ".join(f"{b}: struct<labels: array<string>, {v}: array<double>>" for b, v in BLOCK_VALUES.items())
+    read = documents.select(UNIT, F.from_json("documento", f"struct<{schema}>").alias("d"))
+
+    def entries(block: str, values: str) -> Column:
+        pairs = F.arrays_zip(F.col(f"d.{block}.labels").alias("rotulo"), F.col(f"d.{block}.{values}").alias("valor"))
+        placed = F.transform(pairs, lambda p, i: F.struct(F.lit(block).alias("bloco"), i.alias("posicao"), p["rotulo"].alias("rotulo"), p["valor"].alias("valor")))
+        return F.coalesce(placed, F.array().cast("array<struct<bloco: string, posicao: int, rotulo: string, valor: double>>"))
+
+    return read.select(UNIT, F.inline(F.concat(*[entries(b, v) for b, v in BLOCK_VALUES.items()])))
+
+
 def unit_documents(cube: DataFrame, names: DataFrame) -> DataFrame:
     """``UNIDADE_FINAL, unit_slug, documento``: the chart data of each unit as JSON text.
 

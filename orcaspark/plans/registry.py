@@ -372,6 +372,7 @@ def queries() -> dict[str, Query]:
         "brazilian_text": on_base(brazilian),
         "json_map_rows": json_map,
         "unit_json": unit_json,
+        "unit_json_rows": lambda spark, d: units.document_rows(unit_json(spark, d)),
     }
     return {name: partial(_run, query) for name, query in plain.items()}
 

@@ -11,13 +11,18 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 logger = logging.getLogger(__name__)
 
 
+#: Conditions of files that are missing or damaged.
+UNREADABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE")
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -60,7 +65,9 @@ def snapshot(table: VersionedTable, build: Callable[[], DataFrame]) -> DataFrame
         if current is not None:
             current.count()
             return current
-    except Exception as error:  # any unreadable snapshot is replaced by a new version
+    except (PySparkException, Py4JJavaError) as error:  # other faults, such as missing rights, are the caller's
+        if not any(condition in str(error) for condition in UNREADABLE):
+            raise
         logger.warning("snapshot %s is unreadable and will be rebuilt: %s", table.root, error)
     table.replace(build())
     return table.read()
