@@ -119,7 +119,9 @@ def true_neighbours(vectors: DataFrame, queries: list[tuple[int, list[float]]],
             "score": pa.array(np.concatenate([s for _, s in best]) if best else [], pa.float64()),
         }
 
-    found = per_batch(vectors.select("vec_id", "vector"), convert, "query_id bigint, vec_id bigint, score double")
+    found = per_batch(
+        vectors.select("vec_id", "vector"), convert, "query_id bigint, vec_id bigint, score double", rows=1 << 20
+    )
     return ranked(merged(found.groupBy("query_id").agg(F.collect_list(_pair()).alias("found")), "query_id", count=count))
 
 

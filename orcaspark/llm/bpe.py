@@ -30,8 +30,8 @@ UNEVEN = re.compile(r" (?:\s|$)")
 LOOKAHEAD = 3
 #: Signs that mostly end a word.
 ENDS = (".", ",", "!", "?", ":", ";")
-#: Entries of a worker's caches of encoded words and of seams; each starts anew when full.
-WORDS, SEAMS = 1_000_000, 1_000_000
+#: Entries of a worker's caches: encoded words of either generation, and seams, which start anew when full.
+WORDS, SEAMS = 200_000, 400_000
 
 
 class Codec:
@@ -225,10 +225,15 @@ class EncodedText:
 
 
 class _Words(dict):
-    """Ids, as text, of words that follow a space; encodes what it doesn't hold."""
+    """Ids, as text, of words that follow a space; encodes what it doesn't hold.
+
+    When full, the words become the older generation and the one before is dropped; a word
+    that is met again is taken over, so frequent words stay.
+    """
 
     def __init__(self, codec: Codec):
         super().__init__()
+        self.older: dict[str, str] = {}
         self.codec = codec
         self.text = {token: str(token) for token in codec.bytes_of}
         # Words of letters, with or without a sign behind them, need no pattern if it says so.
@@ -246,16 +251,21 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> str:
         if len(self) >= WORDS:
+            self.older = dict(self)
             self.clear()
-        if self.letters_are_pieces and word.isalpha():
-            found = self.piece(" " + word)
-        elif self.letters_are_pieces and word[-1:] in ENDS and word[:-1].isalpha():
-            found = f"{self[word[:-1]]} {self.piece(word[-1])}"
-        else:
-            found = self.ids(" " + word)
+        found = self.older.get(word)
+        if found is None:
+            found = self._encoded(word)
         self[word] = found
         return found
 
+    def _encoded(self, word: str) -> str:
+        if self.letters_are_pieces and word.isalpha():
+            return self.piece(" " + word)
+        if self.letters_are_pieces and word[-1:] in ENDS and word[:-1].isalpha():
+            return f"{self[word[:-1]]} {self.piece(word[-1])}"
+        return self.ids(" " + word)
+
 
 class CorpusEncoder:
     """Whole texts to ids written as decimal text, and back, with a worker's bounded caches."""

@@ -39,12 +39,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def per_batch(df: DataFrame, convert: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """Map Arrow batches through ``convert``, which returns the columns of ``schema`` by name."""
+#: Rows that are Python objects at a time; Arrow batches are cut to it.
+ROWS = 1024
+
+
+def per_batch(df: DataFrame, convert: Callable[[pa.RecordBatch], dict], schema: str, rows: int = ROWS) -> DataFrame:
+    """Map batches of at most ``rows`` rows through ``convert``, which returns the columns of ``schema`` by name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_pydict(convert(batch))
+            for begin in range(0, len(batch), rows):
+                yield pa.RecordBatch.from_pydict(convert(batch.slice(begin, rows)))
 
     return df.mapInArrow(run, schema)
 

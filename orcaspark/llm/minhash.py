@@ -22,11 +22,11 @@ from orcaspark.session import stage
 #: Words of a shingle, hash functions, least edit similarity, and rounds of centres in a bucket.
 SHINGLE, FUNCTIONS, SIMILARITY, ROUNDS = 5, 32, 0.8, 2
 #: Hash values computed at a time for one text; word hashes a worker keeps.
-VALUES, KEPT = 4_000_000, 500_000
+VALUES, KEPT = 2_000_000, 200_000
 #: Cells of an alignment row computed at a time, and the band tried first.
-CELLS, FIRST_BAND = 200_000, 12
+CELLS, FIRST_BAND = 100_000, 12
 #: Pairs of texts that are words in memory at a time.
-PAIRS = 256
+PAIRS = 128
 
 _rng = np.random.default_rng(10)
 _ODD = _rng.integers(1 << 62, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
