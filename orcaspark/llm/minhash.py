@@ -10,6 +10,8 @@ candidates; a banded alignment of their words verifies them.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +21,10 @@ from orcaspark.llm.common import per_batch, plain_names, table, texts
 from orcaspark.llm.graph import components
 from orcaspark.session import stage
 
-#: Words of a shingle, hash functions, least edit similarity, and rounds of centres in a bucket.
-SHINGLE, FUNCTIONS, SIMILARITY, ROUNDS = 5, 32, 0.8, 2
+#: Words of a shingle, hash functions, and least edit similarity.
+SHINGLE, FUNCTIONS, SIMILARITY = 5, 32, 0.8
+#: Bins of a bag of words (powers of two; about a quarter of the words), and nodes of a section of a bucket.
+LEAST_BINS, MOST_BINS, SECTION = 32, 1024, 512
 #: Hash values computed at a time for one text; word hashes a worker keeps.
 VALUES, KEPT = 2_000_000, 200_000
 #: Cells of an alignment row computed at a time, and the band tried first.
@@ -96,26 +100,36 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return found.view(np.int64)
 
 
+def bag_of(hashes: np.ndarray) -> bytes:
+    """How many words fall into each bin, 255 at most; halving the bins adds bin ``i`` and ``i + size / 2``."""
+    size = min(MOST_BINS, max(LEAST_BINS, 1 << (len(hashes) // 4).bit_length()))
+    counts = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` (hash of the words), ``n_words`` and ``values`` of every row; key null without words."""
+    """``doc_id``, ``key`` (hash of the words), ``n_words``, ``values`` and ``bag`` of every row; key null without words."""
     hashes = WordHashes()
 
     def convert(batch: pa.RecordBatch) -> dict:
-        keys, counts, values = [], [], []
+        keys, counts, values, bags = [], [], [], []
         for text in texts(batch["text"]):
             words = words_of(text)
             own = hashes.of(words)
             keys.append(key_of(own))
             counts.append(len(words))
             values.append(sketch(own))
+            bags.append(bag_of(own))
         return {
             "doc_id": batch["doc_id"],
             "key": pa.array(keys, pa.binary()),
             "n_words": pa.array(counts, pa.int64()),
             "values": pa.array(values, pa.list_(pa.int64())),
+            "bag": pa.array(bags, pa.binary()),
         }
 
-    return per_batch(docs.select("doc_id", "text"), convert, "doc_id bigint, key binary, n_words bigint, values array<bigint>")
+    schema = "doc_id bigint, key binary, n_words bigint, values array<bigint>, bag binary"
+    return per_batch(docs.select("doc_id", "text"), convert, schema)
 
 
 # -- Alignment ---------------------------------------------------------------------------
@@ -228,15 +242,17 @@ def verified(pairs: DataFrame, wording: DataFrame, least: float = SIMILARITY) ->
 # -- Classes -----------------------------------------------------------------------------
 
 
-def classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Near-duplicate class of every row of ``docs``: ``doc_id``, ``class_id``, ``kept``, ``n_words``, ``key``.
 
     ``class_id`` is the smallest doc_id of the class, ``kept`` is true for the rows of that
     id with the text of its first row (the smallest key). Texts with the same words, case and spacing aside,
     are one node. Nodes with an equal value are a bucket; each is compared with the
     bucket's centre, the node with the least key, and in a further round, where a bucket
-    still holds several classes, with its greatest. So a bucket costs as many comparisons
-    as it has members, however large it is, and no pair within it is enumerated.
+    still holds several classes, with its greatest. That joins large groups at the cost of
+    their size. Where the other members are still of several classes, every two of
+    different classes are compared (``remaining_pairs``): so any two similar members of a
+    bucket end in one class.
     Null and empty texts have no words and are classes of their own (class_id = doc_id).
     Null ids take part; a class with null ids only has a null class_id.
     """
@@ -244,7 +260,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) ->
     nodes = stage(
         rows.filter("key is not null")
         .groupBy("key")
-        .agg(F.min("doc_id").alias("doc_id"), F.any_value("n_words").alias("n_words"), F.any_value("values").alias("values")),
+        .agg(F.min("doc_id").alias("doc_id"), *(F.any_value(c).alias(c) for c in ("n_words", "values", "bag"))),
         "nodes",
     )
     members = nodes.select(F.explode(F.array_distinct("values")).alias("bucket"), "key", "n_words")
@@ -254,25 +270,26 @@ def classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) ->
         labels = None
     else:
         wording = stage(texts_of(docs, nodes, members.select("key").distinct()), "wording")
-        links = None
-        for turn in range(rounds):
-            pairs = candidate_pairs(members, None if links is None else components(links), turn, least)
-            found = stage(verified(pairs, wording, least), "links")
-            links = found if links is None else stage(links.union(found), "links")
+        links = stage(verified(candidate_pairs(labelled(members, None), F.min, least), wording, least), "links")
+        found = verified(candidate_pairs(labelled(members, components(links)), F.max, least), wording, least)
+        links = stage(links.union(found), "links")
         labels = components(links)
+        left = stage(remaining_pairs(labelled(members, labels), nodes.select("key", "bag"), least), "left")
+        if not left.isEmpty():
+            labels = components(stage(links.union(verified(left, wording, least)), "links"))
     return assigned(rows, nodes, labels)
 
 
-def candidate_pairs(members: DataFrame, labels: DataFrame | None, turn: int, least: float) -> DataFrame:
-    """Pairs of a bucket's centre with its other members of another class, whose lengths allow the similarity."""
+def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``members`` with the class so far as ``label``; a node without links is a class."""
     if labels is None:
-        members = members.withColumn("label", F.col("key"))
-    else:
-        members = stage(
-            members.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key")),
-            "members",
-        )
-    pick = F.max if turn % 2 else F.min
+        return members.withColumn("label", F.col("key"))
+    found = members.join(labels.withColumnRenamed("node", "key"), "key", "left")
+    return stage(found.withColumn("label", F.coalesce("label", "key")), "members")
+
+
+def candidate_pairs(members: DataFrame, pick, least: float) -> DataFrame:
+    """Pairs of a bucket's centre with its other members of another class, whose lengths allow the similarity."""
     centres = members.groupBy("bucket").agg(
         pick(F.struct("key", "n_words", "label")).alias("centre"),
         F.min("label").alias("low"),
@@ -288,6 +305,84 @@ def candidate_pairs(members: DataFrame, labels: DataFrame | None, turn: int, lea
     )
 
 
+def remaining_pairs(members: DataFrame, bags: DataFrame, least: float) -> DataFrame:
+    """Pairs of different classes in a bucket that neither centre settled, less those that can't be similar.
+
+    The centres, the least and the greatest key, have met every member. A large bucket is
+    dealt to sections, and each pair of sections is a part of bounded size. Lengths and the
+    difference of the bags of words bound the edits from below, so only pairs are left out
+    whose alignment would fail.
+    """
+    ends = members.groupBy("bucket").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    others = members.join(stage(ends, "ends"), "bucket").filter("key <> first and key <> last").drop("first", "last")
+    mixed = others.groupBy("bucket").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / SECTION).cast("int").alias("sections")
+    )
+    others = others.join(stage(mixed.filter("low <> high").select("bucket", "sections"), "mixed"), "bucket")
+    rows = others.withColumn("section", F.pmod(F.xxhash64("key"), F.col("sections")).cast("int"))
+    rows = rows.join(bags, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sections") - 1)))
+    part = F.least("section", "other") * F.col("sections").cast("bigint") + F.greatest("section", "other")
+    rows = rows.select("bucket", part.alias("part"), "section", "key", "label", "n_words", "bag")
+    rows = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(batches):
+            a, b = possible_pairs(run, least)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return rows.mapInArrow(convert, "a binary, b binary").distinct()
+
+
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Consecutive rows with the same bucket and part; runs may span batches."""
+    held, name = [], None
+    for batch in batches:
+        if not len(batch):
+            continue
+        buckets, parts = batch["bucket"].to_numpy(), batch["part"].to_numpy()
+        cuts = np.flatnonzero((buckets[1:] != buckets[:-1]) | (parts[1:] != parts[:-1])) + 1
+        for begin, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(batch)], strict=True):
+            if held and name != (buckets[begin], parts[begin]):
+                yield pa.Table.from_batches(held)
+                held = []
+            name = buckets[begin], parts[begin]
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def possible_pairs(run: pa.Table, least: float) -> tuple[list[bytes], list[bytes]]:
+    """Pairs of a part's nodes of different classes whose lengths and bags allow the similarity.
+
+    Where the part holds two sections, only pairs across them.
+    """
+    order = np.argsort(run["n_words"].to_numpy(), kind="stable")
+    run = run.take(pa.array(order))
+    keys, n_words, sections = run["key"].to_pylist(), run["n_words"].to_numpy(), run["section"].to_numpy()
+    numbers: dict[bytes, int] = {}
+    labels = np.array([numbers.setdefault(x, len(numbers)) for x in run["label"].to_pylist()])
+    across = sections.min() != sections.max()
+    bags = [np.frombuffer(x, dtype=np.uint8) for x in run["bag"].to_pylist()]
+    # Longer texts have no fewer bins, so those from i on fold to the bins of i.
+    stops = np.searchsorted(n_words * least, n_words + 1e-6, side="right")
+    a, b, folded, size, begin = [], [], None, 0, 0
+    for i, bag in enumerate(bags):
+        if len(bag) != size:
+            size, begin = len(bag), i
+            folded = np.array([x.reshape(-1, size).sum(axis=0, dtype=np.int32) for x in bags[i:]])
+        near = np.arange(i + 1, stops[i])
+        near = near[labels[near] != labels[i]]
+        if across:
+            near = near[sections[near] != sections[i]]
+        if len(near):
+            more = folded[near - begin] - folded[i - begin]
+            fewest = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
+            near = near[fewest <= (1 - least) * n_words[near] + 1e-6]
+            a += [keys[i]] * len(near)
+            b += [keys[j] for j in near.tolist()]
+    return a, b
+
+
 def key_of(hashes: np.ndarray) -> bytes | None:
     """Name of a text by its words; None without words."""
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest() if len(hashes) else None

@@ -114,6 +114,37 @@ def test_large_groups_and_shared_passages(docs):
     assert sum(r["kept"] for r in got.values()) == 61
 
 
+def test_subgroups_of_a_template(docs):
+    template = [f"t{i}" for i in range(78)]
+    texts = []
+    for group in range(50):  # 78 % alike to all others; its variants share no shingle but the template's
+        for v in range(3):
+            texts.append(" ".join(template + [f"g{group}w{i}" if i % 4 else f"g{group}v{v}w{i}" for i in range(22)]))
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(docs(texts)).collect()}
+    assert got == {i: i - i % 3 for i in range(150)}
+
+
+def test_remaining_pairs_are_all_of_other_classes(session, monkeypatch):
+    monkeypatch.setattr(minhash, "SECTION", 7)  # the bucket has several sections
+    rng, hashes = random.Random(4), minhash.WordHashes()
+    base = [f"b{i}" for i in range(60)]
+    texts = [edited(rng, base, rng.choice([0.1, 0.3])) + ["end"] * rng.randint(0, 20) for _ in range(40)]
+    own = [hashes.of(t) for t in texts]
+    keys = [minhash.key_of(h) for h in own]
+    members = [(1, keys[i], len(t), keys[i % 30]) for i, t in enumerate(texts)]
+    frame = session.createDataFrame(members, "bucket bigint, key binary, n_words bigint, label binary")
+    bags = session.createDataFrame([(k, minhash.bag_of(h)) for k, h in zip(keys, own, strict=True)], "key binary, bag binary")
+    found = [(bytes(r["a"]), bytes(r["b"])) for r in minhash.remaining_pairs(frame, bags, 0.8).collect()]
+    got = {frozenset(p) for p in found}
+    assert len(got) == len(found)
+    place = {k: i for i, k in enumerate(keys)}
+    inner = sorted(keys)[1:-1]
+    pairs = [(a, b) for a in inner for b in inner if a < b and place[a] % 30 != place[b] % 30]
+    alike = minhash.similar([(texts[place[a]], texts[place[b]]) for a, b in pairs])
+    assert {frozenset(p) for p, ok in zip(pairs, alike, strict=True) if ok} <= got
+    assert got <= {frozenset(p) for p in pairs} and len(got) < len(pairs) and any(alike)
+
+
 def test_minhash_edges(docs):
     rows = hard_rows()
     got = minhash.classes(docs(rows, CLASHES)).collect()
