@@ -1,10 +1,11 @@
 """Near-duplicate texts by Order MinHash.
 
-A text's shingles of five words are labelled with their occurrence. Each of many hash
+A text's shingles of two words are labelled with their occurrence. Each of many hash
 functions picks the two least labelled shingles, and they are kept in their order in the
 text: two texts agree in such a pair if they share the shingles and their order, so
-agreement follows edit similarity and not only the sets. Texts that agree in a pair are
-candidates; a banded alignment of their words verifies them.
+agreement follows edit similarity and not only the sets. Short texts get pairs of single
+words besides. Texts that agree in a pair are candidates; a banded alignment of their words
+verifies them.
 """
 
 from __future__ import annotations
@@ -21,8 +22,11 @@ from orcaspark.llm.common import per_batch, plain_names, table, texts
 from orcaspark.llm.graph import components
 from orcaspark.session import stage
 
-#: Words of a shingle, hash functions, and least edit similarity.
-SHINGLE, FUNCTIONS, SIMILARITY = 5, 32, 0.8
+#: Words of a shingle, hash functions, and least edit similarity. One word in five changed leaves
+#: a third to a half of the two-word shingles, and an agreement of nearly 1 over all functions.
+SHINGLE, FUNCTIONS, SIMILARITY = 2, 48, 0.8
+#: Texts of so many words at most also have pairs of single words.
+SHORT = 40
 #: Bins of a bag of words (powers of two; about a quarter of the words), and nodes of a section of a bucket.
 LEAST_BINS, MOST_BINS, SECTION = 32, 1024, 512
 #: Hash values computed at a time for one text; word hashes a worker keeps.
@@ -33,8 +37,8 @@ CELLS, FIRST_BAND = 100_000, 12
 PAIRS = 128
 
 _rng = np.random.default_rng(10)
-_ODD = _rng.integers(1 << 62, 1 << 63, FUNCTIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SALT = _rng.integers(0, 1 << 63, FUNCTIONS, dtype=np.uint64)
+_ODD = _rng.integers(1 << 62, 1 << 63, (2, FUNCTIONS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SALT = _rng.integers(0, 1 << 63, (2, FUNCTIONS), dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -66,9 +70,21 @@ def words_of(text: str) -> list[str]:
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """Order MinHash values of a text given its words' hashes; none without words."""
-    width = min(SHINGLE, len(hashes))
-    if not width:
+    if not len(hashes):
         return np.zeros(0, dtype=np.int64)
+    return order_pairs(hashes, min(SHINGLE, len(hashes)), _ODD[0], _SALT[0])
+
+
+def values_of(hashes: np.ndarray) -> np.ndarray:
+    """Values of a text by which it meets candidates: its sketch, and a short text's pairs of single words."""
+    found = sketch(hashes)
+    if 0 < len(hashes) <= SHORT:
+        found = np.concatenate([found, order_pairs(hashes, 1, _ODD[1], _SALT[1])])
+    return found
+
+
+def order_pairs(hashes: np.ndarray, width: int, odd: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """The two least shingles of ``width`` words by each function, in the order of the text, as one value."""
     count = len(hashes) - width + 1
     shingles = np.zeros(count, dtype=np.uint64)
     for i in range(width):
@@ -86,7 +102,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     at_once = max(1, VALUES // count)
     for begin in range(0, FUNCTIONS, at_once):
         part = slice(begin, min(begin + at_once, FUNCTIONS))
-        values = (shingles[None, :] ^ _SALT[part, None]) * _ODD[part, None]
+        values = (shingles[None, :] ^ salt[part, None]) * odd[part, None]
         rows = np.arange(len(values))
         first = values.argmin(axis=1)
         if count > 1:
@@ -96,7 +112,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
             pair = scrambled(shingles[early] + _STEP) * _STEP + shingles[late]
         else:
             pair = shingles[first]
-        found[part] = scrambled(pair + _SALT[part])
+        found[part] = scrambled(pair + salt[part])
     return found.view(np.int64)
 
 
@@ -118,7 +134,7 @@ def sketched(docs: DataFrame) -> DataFrame:
             own = hashes.of(words)
             keys.append(key_of(own))
             counts.append(len(words))
-            values.append(sketch(own))
+            values.append(values_of(own))
             bags.append(bag_of(own))
         return {
             "doc_id": batch["doc_id"],

@@ -81,6 +81,30 @@ def test_sketches_follow_order_and_occurrence():
     assert (minhash.sketch(hashes.of(repeated)) != minhash.sketch(hashes.of(repeated[:5]))).any()
 
 
+@pytest.mark.parametrize("size", [5, 6, 10, 20, 40, 41, 250, 1000])
+def test_sketches_of_pairs_at_the_threshold_agree(size):
+    rng, hits = random.Random(size), []
+    for turn in range(200):
+        a = [rng.getrandbits(62) for _ in range(size)]
+        b, changed = list(a), size // 5
+        places = rng.sample(range(size), changed) if turn % 2 else [5 * i + 2 for i in range(changed)]
+        for place in places:
+            b[place] = rng.getrandbits(62)
+        values = [minhash.values_of(np.array(t, dtype=np.uint64)) for t in (a, b)]
+        hits.append(len(np.intersect1d(*values)) > 0)
+    assert np.mean(hits) >= 0.99
+
+
+def test_scattered_changes_down_to_the_threshold(docs):
+    rng, texts = random.Random(12), []
+    for i in range(80):
+        base = [f"g{i}w{j}" for j in range(rng.choice([6, 12, 25, 60, 120, 300]))]
+        places = rng.sample(range(len(base)), len(base) // 5)
+        texts += [" ".join(base), " ".join("new" if j in places else w for j, w in enumerate(base))]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(docs(texts)).collect()}
+    assert sum(c == i - i % 2 for i, c in got.items()) >= 0.99 * len(texts)
+
+
 def test_classes_of_whole_table(session):
     texts = dict(session.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     got = {r["doc_id"]: r["class_id"] for r in registry.queries()["op10_minhash"](session, SF).collect()}
