@@ -39,8 +39,8 @@ COSINE, SLACK = 0.95, 0.05
 SHARD, PART = 1024, 1024
 #: Shards of a vector at first; points of the search's beam.
 OVERLAP, BEAM = 3, 24
-#: Vectors audited at most, and the recall that suffices.
-AUDITED, RECALL = 200, 0.98
+#: Vectors audited at first, and as a matrix at a time; true links that make a measure; the recall that suffices.
+AUDITED, MATRIX, MEASURED, RECALL = 200, 2048, 400, 0.98
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
@@ -140,16 +140,34 @@ def searched(parts: DataFrame, adjacency: DataFrame, cosine: float) -> DataFrame
     return rows.groupBy("shard", "part").applyInPandas(search, "a binary, b binary").distinct()
 
 
-def audit(nodes: DataFrame, links: DataFrame, cosine: float, count: int) -> float:
-    """Share of the links of about ``AUDITED`` nodes, chosen by a hash, that ``links`` holds; brute force over all nodes.
+def true_links(nodes: DataFrame, cosine: float, count: int) -> DataFrame:
+    """Links of nodes chosen by a hash, by brute force over all nodes: ``a`` < ``b``.
 
-    Returns 1 where they have no links. The audited vectors are a bounded matrix.
+    Further nodes are audited, twice as many each time, until ``MEASURED`` links were seen or
+    all nodes are audited.
     """
-    chance = min(1.0, AUDITED / max(1, count))
-    place = F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1 << 30))
-    chosen = nodes.filter(place < int(chance * (1 << 30)) if chance < 1 else F.lit(True)).select("key", "unit").collect()
+    found, low, high = None, 0.0, min(1.0, AUDITED / max(1, count))
+    while True:
+        place = F.pmod(F.xxhash64("key", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+        # The nodes of a range in blocks of about MATRIX; every block is a matrix on its own.
+        blocks = max(1, round(count * (high - low) / MATRIX))
+        for block in range(blocks):
+            begin, end = low + (high - low) * block / blocks, low + (high - low) * (block + 1) / blocks
+            chosen = nodes.filter((place >= begin) & ((place < end) if end < 1 else F.lit(True)))
+            more = links_of(nodes, chosen.select("key", "unit").collect(), cosine)
+            if more is not None:
+                found = more if found is None else found.union(more)
+        if found is not None:
+            found = stage(found.distinct(), "audit")
+        if high >= 1 or (found is not None and found.count() >= MEASURED):
+            return found
+        low, high = high, min(1.0, 2 * high)
+
+
+def links_of(nodes: DataFrame, chosen: list, cosine: float) -> DataFrame | None:
+    """Links of a bounded list of nodes with all."""
     if not chosen:
-        return 1.0
+        return None
     keys, points = [bytes(r["key"]) for r in chosen], np.array([r["unit"] for r in chosen])
 
     def convert(batch: pa.RecordBatch) -> dict:
@@ -159,14 +177,17 @@ def audit(nodes: DataFrame, links: DataFrame, cosine: float, count: int) -> floa
         pairs = {(min(names[i], keys[j]), max(names[i], keys[j])) for i, j in zip(of, at, strict=True) if names[i] != keys[j]}
         return {"a": pa.array([a for a, _ in pairs], pa.binary()), "b": pa.array([b for _, b in pairs], pa.binary())}
 
-    true = stage(per_batch(nodes.select("key", "unit"), convert, "a binary, b binary").distinct(), "audit")
-    total = true.count()
-    return true.join(links, ["a", "b"]).count() / total if total else 1.0
+    return stage(per_batch(nodes.select("key", "unit"), convert, "a binary, b binary").distinct(), "audit")
 
 
 def near_links(nodes: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> tuple[DataFrame, float]:
-    """Links between distinct vectors and their audited recall; the overlap doubles until the recall suffices."""
+    """Links between distinct vectors and their audited recall; the overlap doubles until the recall suffices.
+
+    Recall is only 1 without a true link if every node was audited.
+    """
     count = nodes.count()
+    true = true_links(nodes, cosine, count)
+    total = true.count() if true is not None else 0
     points = sample(nodes.withColumnRenamed("unit", "vector"), count)
     shards = min(MOST_CENTROIDS, max(1, round(count / SHARD)))
     centroids = balanced_centroids(points, shards) if count else np.zeros((1, 1))
@@ -174,7 +195,7 @@ def near_links(nodes: DataFrame, cosine: float = COSINE, recall: float = RECALL)
     while True:
         parts = stage(in_parts(members(nodes, centroids, overlap)), "parts")
         links = stage(searched(parts, stage(built(parts), "adjacency"), cosine), "links")
-        share = audit(nodes, links, cosine, count)
+        share = true.join(links, ["a", "b"]).count() / total if total else 1.0
         if share >= recall or overlap >= len(centroids):
             return links, share
         overlap *= 2

@@ -236,6 +236,16 @@ def test_links_of_groups_and_copies(session, monkeypatch):
     check_links(vecdedup.near_duplicates(frame).collect(), list(range(len(points))), points.astype(np.float64))
 
 
+def test_audit_goes_on_until_links_are_seen(session):
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(3000, 32))
+    points[1500:1515] = points[:15] + rng.normal(scale=0.02, size=(15, 32))  # 1 % of the vectors have a link
+    rows = [(i, f"{i:08d}".encode(), (p / np.linalg.norm(p)).tolist()) for i, p in enumerate(points)]
+    nodes = session.createDataFrame(rows, "vec_id bigint, key binary, unit array<double>").cache()
+    found = {(bytes(r["a"]), bytes(r["b"])) for r in vecdedup.true_links(nodes, 0.95, 3000).collect()}
+    assert found == {(f"{i:08d}".encode(), f"{i + 1500:08d}".encode()) for i in range(15)}
+
+
 def odd_vectors(session):
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0])]
     rows += [(20, [1.0, 0.0]), (20, [1.0, 0.0]), (21, [1.0, 0.01]), (22, [2.0, 0.0]), (40, [0.0, 1.0]), (None, [0.0, -1.0])]
