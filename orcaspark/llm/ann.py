@@ -66,7 +66,7 @@ class Index:
     def probes(self, queries: np.ndarray, ratio: float, sizes: np.ndarray, least: int) -> list[list[int]]:
         """Lists whose centroid is at most ``ratio`` times as far as the nearest; searched through the graph.
 
-        Where they hold fewer than ``least`` entries, the next nearest lists are added.
+        Where they hold fewer than ``least`` of the ids that ``sizes`` counts, the next nearest lists are added.
         """
         found = []
         for block in blocks_of(self.aim(queries), 256):
@@ -112,7 +112,7 @@ def true_neighbours(vectors: DataFrame, queries: list[tuple[int, list[float]]],
 
     def convert(batch: pa.RecordBatch) -> dict:
         own, names = np.array(batch["vector"].to_pylist()).reshape(len(batch), -1), np.array(batch["vec_id"].to_pylist())
-        best = [best_of(p, i, own, names, count) for p, i in zip(points, ids, strict=True)] if len(batch) else []
+        best = [best_ids(p, i, own, names, count) for p, i in zip(points, ids, strict=True)] if len(batch) else []
         return {
             "query_id": pa.array(np.repeat(ids[: len(best)], [len(n) for n, _ in best]), pa.int64()),
             "vec_id": pa.array(np.concatenate([n for n, _ in best]) if best else [], pa.int64()),
@@ -142,14 +142,31 @@ def best_of(query: np.ndarray, query_id: int, points: np.ndarray, ids: np.ndarra
     return ids[close][order], scores[order]
 
 
+def best_ids(query: np.ndarray, query_id: int, points: np.ndarray, ids: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``best_of``, for the ``count`` best distinct ids, each with its best score; repeated rows take no place."""
+    wanted = count
+    while True:
+        names, scores = best_of(query, query_id, points, ids, wanted)
+        first = np.sort(np.unique(names, return_index=True)[1])[:count]  # rows are sorted, so the first is the best
+        if len(first) == count or wanted >= len(ids):
+            return names[first], scores[first]
+        wanted *= 4
+
+
 def _pair():
     """Order of results as a struct: best first when sorted."""
     return F.struct((-F.col("score")).alias("minus"), F.col("vec_id").alias("vec_id"))
 
 
 def merged(found: DataFrame, *keys: str, count: int) -> DataFrame:
-    """``found`` cut to its ``count`` best distinct entries, per row."""
-    return found.select(*keys, F.slice(F.array_sort(F.array_distinct("found")), 1, count).alias("found"))
+    """``found`` cut to its ``count`` best entries of distinct ids, per row; an id has its best score."""
+
+    def add(kept, x):
+        known = F.exists(kept, lambda y: y["vec_id"] == x["vec_id"])
+        return F.when((F.size(kept) >= count) | known, kept).otherwise(F.array_append(kept, x))
+
+    ordered = found.select(*keys, F.array_sort("found").alias("found"))
+    return ordered.select(*keys, F.aggregate("found", F.slice("found", 1, 0), add).alias("found"))
 
 
 def ranked(found: DataFrame) -> DataFrame:
@@ -211,9 +228,12 @@ def search(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY,
     sections = np.maximum(-(-sizes // SHELF), 1)
     spread = sizes // sections
     shelf_of = (np.cumsum(spread) - spread) // SHELF
-    # A vector is in REPLICAS lists at most, so these entries are enough other vectors.
-    least = REPLICAS * (neighbours + 1)
-    sent = points.sparkSession.sparkContext.broadcast((index, ratio, shelf_of, sections, sizes))
+    # Every id counts in one of its lists only, so these are enough other ids.
+    least, homes = neighbours + 1, np.zeros_like(sizes)
+    home = postings.groupBy("vec_id").agg(F.min(F.get("lists", F.lit(0))).alias("home"))
+    for r in home.groupBy("home").count().collect():  # one row per centroid
+        homes[r["home"]] = r["count"]
+    sent = points.sparkSession.sparkContext.broadcast((index, ratio, shelf_of, sections, homes))
 
     def probe(batch: pa.RecordBatch) -> dict:
         known, limit, shelves, parts, filled = sent.value
@@ -282,9 +302,8 @@ def search(vectors: DataFrame, neighbours: int = NEIGHBOURS, every: int = EVERY,
         for name, vector, wanted in zip(own["query_id"], own["query"], own["wanted"], strict=True):
             read = [rows[c] for c in wanted if c in rows]
             part = np.unique(np.concatenate(read)) if read else np.zeros(0, dtype=np.int64)
-            names, scores = best_of(np.asarray(vector), name, stack[part], ids[part], neighbours * REPLICAS)
-            entries = list(dict.fromkeys(zip((-scores).tolist(), names.tolist(), strict=True)))[:neighbours]
-            found.append([{"minus": m, "vec_id": n} for m, n in entries])
+            names, scores = best_ids(np.asarray(vector), name, stack[part], ids[part], neighbours)
+            found.append([{"minus": -s, "vec_id": n} for n, s in zip(names.tolist(), scores.tolist(), strict=True)])
         return pd.DataFrame({"query_id": own["query_id"], "shelf": own["shelf"], "found": found})
 
     keys = ["shelf", "section", "block"]

@@ -306,6 +306,22 @@ def test_neighbours_of_uneven_lengths_and_copies(session, monkeypatch):
     assert of_copy == [i for i, _ in want[420]]  # ties go to the smaller ids
 
 
+def test_repeated_rows_take_no_place_of_others(session):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(60, 8))
+    rows = [(i, p.tolist(), 0) for i, p in enumerate(points)]
+    rows += [(1, (points[1] * (1 + k / 1000)).tolist(), 0) for k in range(100)] * 2
+    rows += [(2, (points[0] * 9).tolist(), 0)] * 150
+    got = ann.search(session.createDataFrame(rows, VECTORS), recall=1.0).collect()
+    for q in (0, 20, 40):
+        best = {}
+        for i, vector, _ in rows:
+            if i != q:
+                best[i] = max(best.get(i, -np.inf), float(np.float32(vector).astype(float) @ np.float32(points[q]).astype(float)))
+        want = sorted(best, key=lambda i: -best[i])[:20]
+        assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == want
+
+
 def test_neighbour_edges(session):
     got = {(r["query_id"], r["rank"], r["vec_id"]) for r in ann.search(odd_vectors(session)).collect()}
     assert got == {(20, 1, 22), (20, 2, 21), (20, 3, 40), (40, 1, 21), (40, 2, 20), (40, 3, 22)}
