@@ -1,7 +1,8 @@
 """License scans: licence phrases, and an exact set-similarity join with licence notices.
 
 A text block (a line) matches a notice if it holds at least ``threshold`` of the notice's
-distinct words. The notices' words are ordered by their frequency in the whole corpus,
+distinct words. For wrapped notices, a paragraph's words across its line ends are blocks too:
+every run of as many words as the notice has, and the share of other words allowed. The notices' words are ordered by their frequency in the whole corpus,
 rarest first. A block that matches must hold one word of the notice's prefix, its first
 ``size - needed + 1`` words; it needs enough distinct words itself; and after the first
 shared word, enough words must be left in both orders. Blocks that pass are verified by
@@ -86,25 +87,42 @@ class Notice:
     label: str
     words: tuple[bytes, ...]  # rarest first
     needed: int
+    span: int  # words of a run that is compared with it
+
+    def share(self, words: list[bytes]) -> float:
+        """Largest share of its distinct words in any run of ``span`` words."""
+        own, held, most = set(self.words), Counter(), 0
+        hits = [(place, word) for place, word in enumerate(words) if word in own]
+        begin = 0
+        for place, word in hits:
+            held[word] += 1
+            while hits[begin][0] <= place - self.span:
+                left = hits[begin][1]
+                held[left] -= 1
+                if not held[left]:
+                    del held[left]
+                begin += 1
+            most = max(most, len(held))
+        return most / len(own)
 
 
 class PrefixIndex:
     """Inverted index of the notices' prefixes."""
 
-    def __init__(self, notices: list[tuple[str, frozenset[bytes]]], counts: dict[bytes, int], threshold: float):
+    def __init__(self, notices: list[tuple[str, frozenset[bytes]]], counts: dict[bytes, int], threshold: float, lengths: list[int]):
         self.order = {w: (counts.get(w, 0), w) for _, words in notices for w in words}
         self.notices: list[Notice] = []
         self.lists: dict[bytes, list[tuple[int, int]]] = {}
-        for label, words in notices:
+        for (label, words), length in zip(notices, lengths, strict=True):
             needed = max(1, math.ceil(threshold * len(words) - 1e-9))
             ranked = tuple(sorted(words, key=self.order.__getitem__))
             for place, word in enumerate(ranked[: len(ranked) - needed + 1]):
                 self.lists.setdefault(word, []).append((len(self.notices), place))
-            self.notices.append(Notice(label, ranked, needed))
+            self.notices.append(Notice(label, ranked, needed, math.ceil(length / threshold - 1e-9)))
         self.prefix_words = frozenset(self.lists)
 
-    def matches(self, block: set[bytes]) -> list[tuple[str, float]]:
-        """Labels of all notices that the block holds, with the share of words held."""
+    def matches(self, block: set[bytes]) -> list[tuple[Notice, float]]:
+        """All notices that the block holds, with the share of words held."""
         shared = sorted((w for w in block if w in self.order), key=self.order.__getitem__)
         tested, found = set(), []
         for at, word in enumerate(shared):
@@ -117,7 +135,7 @@ class PrefixIndex:
                     continue
                 held = sum(w in block for w in notice.words)
                 if held >= notice.needed:
-                    found.append((notice.label, held / len(notice.words)))
+                    found.append((notice, held / len(notice.words)))
         return found
 
 
@@ -148,6 +166,7 @@ def scan(
     notices: tuple[tuple[str, str], ...] = NOTICES,
     phrases: tuple[tuple[str, str], ...] = PHRASES,
     threshold: float = THRESHOLD,
+    wrapped: bool = False,
 ) -> DataFrame:
     """Licence labels of every row of ``docs``.
 
@@ -155,18 +174,19 @@ def scan(
     empty) twice: once for the frequencies of the notices' words, once for the join. Only
     those words' counts reach the driver; ``notices`` are bounded by ``NOTICE_WORDS``.
     ``score`` is 1 where a phrase stands, else the largest share of a matching notice that
-    a line holds, else 0. Empty texts have no words, no labels and score 0.
+    a block holds, else 0. With ``wrapped``, notices may go over line ends; paragraphs end at a
+    line without words. Empty texts have no words, no labels and score 0.
     """
     sets = [(label, frozenset(words_of(text.encode()))) for label, text in notices]
     vocabulary = frozenset().union(*(words for _, words in sets))
     if len(vocabulary) > NOTICE_WORDS:
         raise ValueError(f"more than {NOTICE_WORDS} words in the notices")
     counts = {r["word"].encode(): r["n"] for r in frequencies(docs, vocabulary).collect()}
-    index = PrefixIndex(sets, counts, threshold)
+    index = PrefixIndex(sets, counts, threshold, [len(words_of(text.encode())) for _, text in notices])
     sought = tuple((tuple(words_of(p.encode())), label) for p, label in phrases)
 
     def convert(batch: pa.RecordBatch) -> dict:
-        rows = [_scan_text(text, index, sought) for text in raw_texts(batch["text"])]
+        rows = [_scan_text(text, index, sought, wrapped) for text in raw_texts(batch["text"])]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
         kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
         names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
@@ -178,9 +198,25 @@ def scan(
 
 
 LINE = re.compile(rb"[^\r\n]+")
+LINE_END = re.compile(rb"\r\n|\r|\n")
 
 
-def _scan_text(text: bytes, index: PrefixIndex, phrases) -> tuple:
+def paragraphs(text: bytes) -> list[list[bytes]]:
+    """Words of each run of two or more lines with words."""
+    found, own, lines = [], [], 0
+    for line in [*LINE_END.split(text), b""]:
+        words = words_of(line)
+        if words:
+            own += words
+            lines += 1
+            continue
+        if lines > 1:
+            found.append(own)
+        own, lines = [], 0
+    return found
+
+
+def _scan_text(text: bytes, index: PrefixIndex, phrases, wrapped: bool) -> tuple:
     words = words_of(text)
     places = phrase_places(words, phrases)
     matched = []
@@ -188,7 +224,12 @@ def _scan_text(text: bytes, index: PrefixIndex, phrases) -> tuple:
         for line in LINE.findall(text):
             block = set(words_of(line))
             if not index.prefix_words.isdisjoint(block):
-                matched += index.matches(block)
+                matched += [(notice.label, share) for notice, share in index.matches(block)]
+        for own in paragraphs(text) if wrapped else ():
+            for notice, _ in index.matches(set(own)):
+                share = notice.share(own)
+                if share * len(notice.words) >= notice.needed - 1e-9:
+                    matched.append((notice.label, share))
     base = {label for _, label in places}
     starts = [start for start, _ in places]
     return (
@@ -204,4 +245,4 @@ def _scan_text(text: bytes, index: PrefixIndex, phrases) -> tuple:
 
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of all documents."""
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents"), wrapped=True)

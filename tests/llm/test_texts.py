@@ -220,6 +220,22 @@ def test_join_is_exact_at_lower_thresholds(docs):
             assert tuple(r)[1:] == license_row(texts[r["doc_id"]], notices, threshold)
 
 
+def test_wrapped_notices(docs):
+    import textwrap
+
+    texts, labels = [], []
+    for label, notice in licenses.NOTICES:
+        for sign in ("", "# ", " * ", "// "):
+            lines = textwrap.wrap(f"Copyright of some people and others. {notice}. All of this text goes on behind it.", 40)
+            texts.append("\n".join(["words before"] + [sign.strip()] + [sign + line for line in lines]))
+            labels.append(label)
+    texts += ["\n".join(w for w in notice.split() for _ in range(9)) for _, notice in licenses.NOTICES if len(notice.split()) > 12]
+    texts += ["\n\n".join(textwrap.wrap(licenses.NOTICES[1][1], 40))]
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(docs(texts), phrases=(), wrapped=True).collect()}
+    assert all(label in got[i] for i, label in enumerate(labels))
+    assert all(got[i] == [""] for i in range(len(labels), len(texts)))
+
+
 def test_license_edges(docs):
     rows = hard_rows()
     got = licenses.scan(docs(rows, CLASHES)).collect()
