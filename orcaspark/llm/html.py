@@ -22,14 +22,16 @@ from pyspark.sql import functions as F
 from orcaspark.llm.common import per_batch, table, texts
 from orcaspark.session import stage
 
-# Elements whose content is no text of the page.
-HIDDEN = "script|style|noscript|template|title|textarea|select|svg|math|iframe|object|video|audio|canvas|button"
+# Elements whose content is no text of the page: raw text, up to the end of the page if unclosed,
+# and others, which end at their own tag if they are self-closed or unclosed.
+HIDDEN = "script|style|title|textarea|iframe"
+HIDDEN_IF_CLOSED = frozenset("noscript template select svg math object video audio canvas button".split())
 # Elements that never belong to an article's text, wherever they stand.
 OUTSIDE = frozenset("nav header footer aside form menu dialog".split())
-# The same by words of class, id and role.
-OUTSIDE_WORDS = frozenset(
+# The same by whole names of class, id and role; parts of names only bear on the weights.
+OUTSIDE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent"
-    " notice notices popup modal overlay newsletter subscribe sidebar menu navbar nav navigation breadcrumb breadcrumbs"
+    " cookie-notice cookie-banner cookie-consent popup modal overlay newsletter subscribe sidebar menu navbar nav navigation breadcrumb breadcrumbs"
     " pagination pager share sharing social related recommended comment comments disqus replies reply respond footer"
     " header masthead toolbar widget complementary contentinfo search searchbox login".split()
 )
@@ -49,7 +51,7 @@ TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""",
     re.S | re.I,
 )
-NAMING = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMING = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 
 #: Cost of a tag that only occurs outside articles, and what every tag costs at least.
@@ -83,34 +85,38 @@ class Holder:
 
 
 def holder(tag: str, attributes: str) -> Holder:
-    words = []
+    words, names = [], []
     if attributes:
         for match in NAMING.finditer(attributes):
-            words += NAME_WORD.findall((match[1] or match[2] or match[3] or "").lower())
-    outside = tag in OUTSIDE or not OUTSIDE_WORDS.isdisjoint(words)
+            value = (match[1] or match[2] or match[3] or "").lower()
+            words += NAME_WORD.findall(value)
+            names += value.split()
+    outside = tag in OUTSIDE or not OUTSIDE_NAMES.isdisjoint(names)
     return Holder(tag, (tag, *(f"{tag}.{w}" for w in words)), outside)
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order, read leniently: unclosed and stray tags are allowed."""
-    found, stack, tags, current, place = [], [], [], None, 0
+    found, stack, tags, place = [], [], [], 0
+    current: dict[bool, Block] = {}  # by whether its pieces lie outside
+    endless = set()
 
     def add(raw: str) -> None:
-        nonlocal current, tags
+        nonlocal tags
         text = references.unescape(raw) if "&" in raw else raw
         words = len(text.split())
+        outside = any(h.outside for h in stack)
         if words:
-            if current is None:
-                outside = any(h.outside for h in stack)
-                current = Block([] if outside else tags, outside=outside)
-                current.labelled = not outside and any(h.tag == "article" for h in stack)
-                found.append(current)
+            if outside not in current:
+                own = current[outside] = Block([] if outside else tags, outside=outside)
+                own.labelled = not outside and any(h.tag == "article" for h in stack)
+                found.append(own)
                 tags = tags if outside else []
-            current.runs.append((tuple(n for h in stack for n in h.names), words))
-        if current is not None:
-            current.pieces.append(text)
+            current[outside].runs.append((tuple(n for h in stack for n in h.names), words))
+        if outside in current:
+            current[outside].pieces.append(text)
 
-    for match in TOKEN.finditer(page):
+    while match := TOKEN.search(page, place):
         if match.start() > place:
             add(page[place : match.start()])
         place = match.end()
@@ -118,11 +124,19 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = match[3].lower()
         if tag == "br":
-            if current is not None:
-                current.pieces.append(" ")
+            for own in current.values():
+                own.pieces.append(" ")
+            continue
+        if tag in HIDDEN_IF_CLOSED:
+            if not match[2] and not match[4].endswith("/") and tag not in endless:
+                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, place)
+                if end:
+                    place = end.end()
+                else:
+                    endless.add(tag)
             continue
         if tag in BLOCKS:
-            current = None
+            current.clear()
         outside = any(h.outside for h in stack)
         if match[2]:
             for i in range(len(stack) - 1, -1, -1):

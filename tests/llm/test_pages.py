@@ -50,6 +50,28 @@ def test_boilerplate_within_and_around_the_article():
     assert html.main_text(page, WEIGHTS) == "Big & bold\n\nFirst paragraph here goes on.\n\nSecond <one>."
 
 
+@pytest.mark.parametrize(
+    "inner, text",
+    [
+        ('<p><a class="social">X</a> the rest of it</p>', "the rest of it"),
+        ('<p>One <a class="social">X</a> two</p>', "One two"),
+        ('<h2 id="related-work">Related work here</h2>', "Related work here"),
+        ('<section id="social-policy"><p>Text of it</p></section>', "Text of it"),
+        ('<p class="notice">Mind the gap</p>', "Mind the gap"),
+        ('<div class="article-header"><p>Text of it</p></div>', "Text of it"),
+        ('<p data-id="social">Text of it</p>', "Text of it"),
+        ("<p>One <svg viewBox='0'/>two</p><p>three</p>", "One two\n\nthree"),
+        ("<p>One <button>two</p><p>three</p>", "One two\n\nthree"),
+        ("<p>One <select><option>two</select>three</p>", "One three"),
+    ],
+)
+def test_article_text_with_names_of_boilerplate(inner, text):
+    page = f"<article><p>First words of the long article.</p>{inner}<p>Last words of the long article.</p></article>"
+    weights = html.Weights({"p": 1.0, "article": 1.0}, dict.fromkeys("p article div section h2 a".split(), 1.0))
+    want = f"First words of the long article.\n\n{text}\n\nLast words of the long article."
+    assert html.main_text(page, weights) == want
+
+
 def test_scan_finds_the_best_stretch():
     import itertools
     import random
