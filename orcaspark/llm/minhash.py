@@ -418,14 +418,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
-    """Text of each key, read from the rows with the key's smallest doc_id: ``key``, ``text``."""
-    wanted = nodes.join(keys, "key").select(F.col("key").alias("wanted"), F.coalesce("doc_id", F.lit(NO_ID)).alias("id"))
-    sources = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text").join(wanted, "id")
-    return keyed(sources.drop("id")).filter("key = wanted").select("key", "text").dropDuplicates(["key"])
+    """Text of each key, read from the rows with the key's smallest doc_id: ``key``, ``text``.
 
-
-#: Stands for a null id in joins.
-NO_ID = -(1 << 63)
+    Rows and nodes meet by id and key, so rows that share an id (or have none) meet their own node only.
+    """
+    wanted = nodes.join(keys, "key").select(F.col("key").alias("that_key"), F.col("doc_id").alias("that_id"))
+    sources = keyed(docs.select("doc_id", "text"))
+    return sources.join(wanted, matching(sources)).select("key", "text").dropDuplicates(["key"])
 
 
 def assigned(rows: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
