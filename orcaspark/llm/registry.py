@@ -7,7 +7,20 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orcaspark.llm import ann, bpe, html, licenses, minhash, mixing, secrets, toxicity, urlrules, vecdedup
+from orcaspark.llm import (
+    ann,
+    bpe,
+    html,
+    licenses,
+    minhash,
+    mixing,
+    secrets,
+    spelling,
+    toxicity,
+    urlrules,
+    vecdedup,
+    whitening,
+)
 from orcaspark.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,9 +37,23 @@ def shipped(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: shipped(q) for q in (secrets.op1_secrets, bpe.op2_bpe, toxicity.op3_toxicity, ann.op4_neighbours, html.op5_html, mixing.op6_mixing, vecdedup.op7_vectors, urlrules.op8_urls, licenses.op9_licenses, minhash.op10_minhash)}
+    found = (
+        secrets.op1_secrets,
+        bpe.op2_bpe,
+        toxicity.op3_toxicity,
+        ann.op4_neighbours,
+        html.op5_html,
+        mixing.op6_mixing,
+        vecdedup.op7_vectors,
+        urlrules.op8_urls,
+        licenses.op9_licenses,
+        minhash.op10_minhash,
+        spelling.op12_spelling,
+        whitening.op13_whitening,
+    )
+    return {q.__name__: shipped(q) for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    """No query has an equivalent in SQL; the tests hold them against brute force."""
-    return {}
+    """SQL twins; queries without one are held against brute force by the tests."""
+    return {"op12_spelling": spelling.ORACLE_SQL}
