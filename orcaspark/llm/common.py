@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import pickle
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,3 +77,57 @@ def plain_names(df: DataFrame, needed: tuple[str, ...]) -> tuple[DataFrame, Call
         return out.select(*[F.col(f"`{new}`").alias(old) for old, new in names.items()])
 
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()]), back
+
+
+#: Partial results that one task merges.
+FAN_IN = 256
+
+
+def gathered(
+    rows: DataFrame, fold: Callable[[Iterator[pa.RecordBatch]], object], merge: Callable[[object, object], object]
+) -> object | None:
+    """Every partition folded to one value and the values merged: in tasks of ``FAN_IN`` values, twice, then here.
+
+    A value is of fixed size however many rows it covers; ``fold`` gives ``None`` for no rows, as
+    ``gathered`` does if there are none at all. Values are merged in the order of the partitions, so a
+    rerun rounds alike.
+    """
+
+    def packed(place: int, value: object) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"place": pa.array([place], pa.int64()), "value": [pickle.dumps(value)]})
+
+    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        value = fold(batch for batch in batches if len(batch))
+        if value is not None:
+            yield packed(TaskContext.get().partitionId(), value)
+
+    def merged(found: list[tuple[int, bytes]]) -> object | None:
+        whole = None
+        for _, value in sorted(found):
+            part = pickle.loads(value)
+            whole = part if whole is None else merge(whole, part)
+        return whole
+
+    def together(group: pa.Table) -> pa.Table:
+        found = list(zip(group["place"].to_pylist(), group["value"].to_pylist(), strict=True))
+        return pa.Table.from_batches([packed(min(found)[0] // FAN_IN, merged(found))])
+
+    parts = rows.mapInArrow(within, "place bigint, value binary")
+    for _ in range(2):
+        parts = parts.groupBy(F.floor(F.col("place") / FAN_IN)).applyInArrow(together, "place bigint, value binary")
+    return merged([(r["place"], bytes(r["value"])) for r in parts.collect()])
+
+
+def batch_fold(
+    measure: Callable[[pa.RecordBatch], object], merge: Callable[[object, object], object]
+) -> Callable[[Iterator[pa.RecordBatch]], object]:
+    """Fold for ``gathered`` that measures each batch and merges the measures."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> object | None:
+        whole = None
+        for batch in batches:
+            part = measure(batch)
+            whole = part if whole is None else merge(whole, part)
+        return whole
+
+    return fold

@@ -12,6 +12,7 @@ from orcaspark.llm import (
     bpe,
     html,
     licenses,
+    lm,
     minhash,
     mixing,
     secrets,
@@ -48,6 +49,7 @@ def queries() -> dict[str, Query]:
         urlrules.op8_urls,
         licenses.op9_licenses,
         minhash.op10_minhash,
+        lm.op11_lm,
         spelling.op12_spelling,
         whitening.op13_whitening,
     )

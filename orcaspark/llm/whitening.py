@@ -11,24 +11,19 @@ would be by the eigenvectors of one Gram matrix.
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orcaspark.llm.common import per_batch, table
+from orcaspark.llm.common import batch_fold, gathered, per_batch, table
 
 #: An entry ``c`` becomes ``floor(SCALE * c)``; entries of ``LARGEST`` or more would not be exact.
 SCALE, LARGEST = 64, float(1 << 46)
 #: Components returned at most; passes of the factorisation.
 COMPONENTS, PASSES = 32, 3
-#: Partial results that one task adds up.
-FAN_IN = 256
 #: Components with less than this share of the largest variance count as constant.
 RANK = 1e-13
 UNIT_ROUNDOFF = float(np.finfo(np.float64).eps) / 2
@@ -56,44 +51,6 @@ def entries(batch: pa.RecordBatch, length: int) -> np.ndarray:
     return np.floor(SCALE * values).astype(np.int64).reshape(-1, length)
 
 
-def gathered(
-    rows: DataFrame, measure: Callable[[pa.RecordBatch], object], merge: Callable[[object, object], object]
-) -> object | None:
-    """All batches measured and merged: in each partition, then in tasks of ``FAN_IN`` results, twice, then here.
-
-    A measure is of fixed size however many rows it covers. Results are merged in the order of
-    the partitions, so that a rerun rounds alike.
-    """
-
-    def within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = None
-        for batch in batches:
-            if len(batch):
-                part = measure(batch)
-                whole = part if whole is None else merge(whole, part)
-        if whole is not None:
-            yield packed(TaskContext.get().partitionId(), whole)
-
-    def packed(place: int, value: object) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"place": pa.array([place], pa.int64()), "value": [pickle.dumps(value)]})
-
-    def folded(found: list[tuple[int, bytes]]) -> object | None:
-        whole = None
-        for _, value in sorted(found):
-            part = pickle.loads(value)
-            whole = part if whole is None else merge(whole, part)
-        return whole
-
-    def together(group: pa.Table) -> pa.Table:
-        found = list(zip(group["place"].to_pylist(), group["value"].to_pylist(), strict=True))
-        return pa.Table.from_batches([packed(min(found)[0] // FAN_IN, folded(found))])
-
-    parts = rows.mapInArrow(within, "place bigint, value binary")
-    for _ in range(2):
-        parts = parts.groupBy(F.floor(F.col("place") / FAN_IN)).applyInArrow(together, "place bigint, value binary")
-    return folded([(r["place"], bytes(r["value"])) for r in parts.collect()])
-
-
 def totals(rows: DataFrame, length: int) -> tuple[int, list[int]]:
     """Number of rows and the exact sums of their entries."""
 
@@ -106,7 +63,7 @@ def totals(rows: DataFrame, length: int) -> tuple[int, list[int]]:
     def merge(a: tuple, b: tuple) -> tuple:
         return a[0] + b[0], [s + t for s, t in zip(a[1], b[1], strict=True)]
 
-    return gathered(rows, measure, merge)
+    return gathered(rows, batch_fold(measure, merge), merge)
 
 
 def solved(rows: np.ndarray, factor: np.ndarray) -> np.ndarray:
@@ -130,7 +87,7 @@ def gram(rows: DataFrame, mean: np.ndarray, factors: list[np.ndarray]) -> np.nda
             part = solved(part, factor)
         return part.T @ part
 
-    return gathered(rows, measure, lambda a, b: a + b)
+    return gathered(rows, batch_fold(measure, np.add), np.add)
 
 
 def cholesky(matrix: np.ndarray, shift: float) -> np.ndarray:
@@ -212,7 +169,7 @@ def identity_error(rows: DataFrame, model: Whitening) -> float:
 
     if not len(model.variances):
         return 0.0
-    count, _, scatter = gathered(rows, measure, merge)
+    count, _, scatter = gathered(rows, batch_fold(measure, merge), merge)
     return float(np.abs(scatter / count - np.eye(len(scatter))).max())
 
 
