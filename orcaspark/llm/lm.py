@@ -6,7 +6,8 @@ the prediction's product with the class's embedding plus a bias. Frequent words
 their own. All other words are classed by their last two code points, and such a class
 shares its probability among its words, and one unknown word, by their counts in the corpus.
 
-Counts cover all training texts and stay a table. Training reads all training texts as well:
+Counts cover all training texts and stay a table. Texts are encoded once, as the classes of their
+tokens. Training reads all training texts as well:
 every task improves a copy of the parameters on its partition by contrasting each token
 with noise classes, and the copies are averaged by tokens, in rounds. Scores are normalised: matrix
 products give the sums over all classes for every context of two classes, once and for all.
@@ -22,6 +23,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,6 +101,11 @@ class Vocabulary:
     tokens: int
     distinct: int
 
+    @property
+    def end(self) -> int:
+        """Class of the end of a text."""
+        return int(self.classed([END])[1][0])
+
     def class_of(self, word: bytes) -> int:
         return self.endings.get(ending(word), len(self.masses) - 1)
 
@@ -160,10 +167,23 @@ def vocabulary(counts: DataFrame, head: int = HEAD, words: int = WORDS, endings:
     ), least
 
 
-def histories(classes: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """The ``CONTEXT`` classes before each token, the nearest first; ``before`` are those before the first."""
-    line = np.concatenate([before, classes])
-    return np.stack([line[CONTEXT - 1 - i : len(line) - 1 - i] for i in range(CONTEXT)], axis=1)
+def token_blocks(column: pa.Array, end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows, histories and classes of the tokens of a column of class lists, ``BLOCK`` tokens at a time.
+
+    A history is the class before the token and the one before that; before a text stand ends of texts.
+    """
+    lengths = pc.list_value_length(column).to_numpy()
+    flat = column.flatten().to_numpy()
+    begins = (np.cumsum(lengths) - lengths)[lengths > 0]
+    nearest, further = np.roll(flat, 1), np.roll(flat, 2)
+    nearest[begins] = further[begins] = end
+    seconds = begins[lengths[lengths > 0] > 1] + 1
+    further[seconds] = end
+    rows = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    for begin in range(0, len(flat), BLOCK):
+        some = slice(begin, begin + BLOCK)
+        history = np.stack([nearest[some], further[some]], axis=1).astype(np.int64)
+        yield rows[some], history, flat[some].astype(np.int64)
 
 
 def summed(values: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
@@ -260,20 +280,21 @@ def noise(counts: np.ndarray) -> np.ndarray:
     return (counts + 0.5) / (counts.sum() + 0.5 * len(counts))
 
 
-def trained_round(docs: DataFrame, words: Vocabulary, start: Model, rate: float) -> Model:
-    """``start`` improved on every partition by one pass over its texts, averaged by their tokens."""
-    sent = docs.sparkSession.sparkContext.broadcast((words, start))
+def trained_round(texts: DataFrame, words: Vocabulary, start: Model, rate: float) -> Model:
+    """``start`` improved on every partition by one pass over its encoded texts, averaged by their tokens."""
+    counts, end = words.counts, words.end
+    sent = texts.sparkSession.sparkContext.broadcast(start)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> tuple[int, list[np.ndarray]] | None:
-        words, start = sent.value
+        start = sent.value
         model = Model(*[p.copy() for p in start.parts()])
         past = [np.full_like(p, 1e-6) for p in start.parts()]
         rng = np.random.default_rng(13)
-        shares = noise(words.counts)
+        shares = noise(counts)
         border = np.cumsum(shares)
         odds = (np.log(shares) + np.log(NOISE)).astype(np.float32)
         seen = 0
-        for history, token in steps(batches, words):
+        for history, token in steps(batches, end):
             drawn = np.minimum(np.searchsorted(border, rng.random(NOISE)), len(border) - 1)
             for part, old, gradient in zip(model.parts(), past, model.gradients(history, token, drawn, odds), strict=True):
                 old += gradient**2
@@ -284,116 +305,98 @@ def trained_round(docs: DataFrame, words: Vocabulary, start: Model, rate: float)
     def merge(a: tuple, b: tuple) -> tuple:
         return a[0] + b[0], [x + y for x, y in zip(a[1], b[1], strict=True)]
 
-    found = gathered(docs, fold, merge)
+    found = gathered(texts.select("classes"), fold, merge)
     return Model(*[(p / found[0]).astype(np.float32) for p in found[1]]) if found else start
 
 
-def steps(batches: Iterator[pa.RecordBatch], words: Vocabulary) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def steps(batches: Iterator[pa.RecordBatch], end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Histories and classes of all tokens, ``STEP`` at a time, mixed within blocks of texts."""
     rng = np.random.default_rng(17)
-    waiting: list[tuple[np.ndarray, np.ndarray]] = []
-    held = 0
-
-    def mixed() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        history = np.concatenate([h for h, _ in waiting])
-        token = np.concatenate([t for _, t in waiting])
-        order = rng.permutation(len(token))
-        for begin in range(0, len(order), STEP):
-            some = order[begin : begin + STEP]
-            yield history[some], token[some]
-
     for batch in batches:
-        for raw in raw_texts(batch["text"]):
-            before = first_history(words)
-            for piece in tokens_of(raw):
-                _, classes = words.classed(piece)
-                if len(classes):
-                    waiting.append((histories(classes, before), classes))
-                    before = np.concatenate([before, classes])[-CONTEXT:]
-                    held += len(classes)
-            if held >= BLOCK:
-                yield from mixed()
-                waiting, held = [], 0
-    if held:
-        yield from mixed()
-
+        for _, history, token in token_blocks(batch["classes"], end):
+            order = rng.permutation(len(token))
+            for begin in range(0, len(order), STEP):
+                some = order[begin : begin + STEP]
+                yield history[some], token[some]
 
-def first_history(words: Vocabulary) -> np.ndarray:
-    """What stands before the first token: ends of texts."""
-    return np.full(CONTEXT, words.classed([END])[1][0], dtype=np.int64)
 
-
-def train(docs: DataFrame, words: Vocabulary) -> Model:
-    """Model of the classes, from all texts of ``docs``."""
+def train(texts: DataFrame, words: Vocabulary) -> Model:
+    """Model of the classes, from all encoded ``texts``."""
     model = Model.untrained(words.counts)
     for number, share in enumerate(ROUNDS):
-        chosen = F.pmod(F.xxhash64("text", F.lit(number)), F.lit(1 << 20)) < int(share * (1 << 20))
-        model = trained_round(docs.filter(chosen) if share < 1 else docs, words, model, RATE / (number + 1))
+        chosen = F.pmod(F.xxhash64("row", F.lit(number)), F.lit(1 << 20)) < int(share * (1 << 20))
+        model = trained_round(texts.filter(chosen) if share < 1 else texts, words, model, RATE / (number + 1))
     return model
 
 
-PARTIAL = (
-    "doc_id {id}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double,"
+ENCODED = (
+    "doc_id {id}, held_out boolean, classes array<smallint>, n_known bigint, base double, share double,"
     " tail array<struct<word: string, tf: bigint>>"
 )
 
 
-def head_scores(docs: DataFrame, words: Vocabulary, model: Model) -> DataFrame:
-    """Sums over each text without the counts of words outside of the head, which are left in ``tail``."""
-    sent = docs.sparkSession.sparkContext.broadcast((words, model, all_totals(docs.sparkSession, model)))
+def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
+    """Texts as the classes of their tokens, with what the head's counts add to their scores.
+
+    ``base`` and ``share`` are sums over the words of the head, and for ``share`` over all masses;
+    the counts of words outside of the head are missing in both and left in ``tail``.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def convert(batch: pa.RecordBatch) -> dict:
-        words, model, totals = sent.value
-        count = len(batch)
-        n_tokens, n_known = np.zeros(count, np.int64), np.zeros(count, np.int64)
-        base, score = np.zeros(count), np.zeros(count)
-        tails: list[list[dict]] = []
-        waiting: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-        held = 0
-
-        def settle() -> None:
-            row = np.repeat([r for r, *_ in waiting], [len(n) for _, n, _, _ in waiting])
-            number = np.concatenate([n for _, n, _, _ in waiting])
-            token = np.concatenate([c for _, _, c, _ in waiting])
-            history = np.concatenate([h for _, _, _, h in waiting])
-            logs = model.log10_probabilities(history, token, totals)
-            known = number >= 0
-            share = -words.masses[token]
-            share[known] = words.within[number[known]]
-            n_tokens[:] += np.bincount(row, minlength=count)
-            n_known[:] += np.bincount(row[known], minlength=count)
-            base[:] += np.bincount(row[known], words.logs[number[known]], count)
-            score[:] += np.bincount(row, logs + share, count)
-
-        for row, raw in enumerate(raw_texts(batch["text"])):
-            before, rest = first_history(words), Counter()
+        words = sent.value
+        ids, known, base, share, tails = [], [], [], [], []
+        for raw in raw_texts(batch["text"]):
+            parts, rest, of_head, sums, shares = [], Counter(), 0, 0.0, 0.0
             for piece in tokens_of(raw):
-                if not piece:
-                    continue
                 number, classes = words.classed(piece)
-                waiting.append((row, number, classes, histories(classes, before)))
-                before = np.concatenate([before, classes])[-CONTEXT:]
-                rest.update(piece[i] for i in np.flatnonzero(number < 0))
-                held += len(piece)
-                if held >= BLOCK:
-                    settle()
-                    waiting, held = [], 0
+                parts.append(classes.astype(np.int16))
+                outside = np.flatnonzero(number < 0)
+                if len(outside):
+                    rest.update([piece[i] for i in outside])
+                    shares -= words.masses[classes[outside]].sum()
+                    number = number[number >= 0]
+                of_head += len(number)
+                sums += words.logs[number].sum()
+                shares += words.within[number].sum()
+            ids.append(np.concatenate(parts))
+            known.append(of_head)
+            base.append(sums)
+            share.append(shares)
             tails.append([{"word": w.decode(), "tf": n} for w, n in rest.items()])
-        if held:
-            settle()
         kind = pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))
         return {
             "doc_id": batch["doc_id"],
             "held_out": batch["held_out"],
-            "n_tokens": n_tokens,
-            "n_known": n_known,
-            "base": base,
-            "score": score,
+            "classes": pa.array(ids, pa.list_(pa.int16())),
+            "n_known": pa.array(known, pa.int64()),
+            "base": pa.array(base, pa.float64()),
+            "share": pa.array(share, pa.float64()),
             "tail": pa.array(tails, kind),
         }
 
     rows = docs.select("doc_id", "text", (~in_training(F.col("doc_id"))).alias("held_out"))
-    return per_batch(rows, convert, PARTIAL.format(id=rows.schema["doc_id"].dataType.simpleString()))
+    return per_batch(rows, convert, ENCODED.format(id=rows.schema["doc_id"].dataType.simpleString()))
+
+
+def class_scores(texts: DataFrame, words: Vocabulary, model: Model) -> DataFrame:
+    """Encoded texts with ``n_tokens`` and ``logs``, the sum of log10 of their classes' probabilities."""
+    end = words.end
+    sent = texts.sparkSession.sparkContext.broadcast((model, all_totals(texts.sparkSession, model)))
+    kept = [f for f in texts.schema.fields if f.name not in ("classes", "tail")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, totals = sent.value
+        for batch in batches:
+            logs = np.zeros(len(batch))
+            for row, history, token in token_blocks(batch["classes"], end):
+                logs += np.bincount(row, model.log10_probabilities(history, token, totals), len(batch))
+            columns = {f.name: batch[f.name] for f in kept}
+            lengths = pc.list_value_length(batch["classes"]).cast(pa.int64())
+            yield pa.RecordBatch.from_pydict(columns | {"n_tokens": lengths, "logs": pa.array(logs)})
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    return texts.drop("tail").mapInArrow(run, f"{schema}, n_tokens bigint, logs double")
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -411,24 +414,24 @@ def score_texts(docs: DataFrame) -> DataFrame:
     learnt = docs.filter(in_training(F.col("doc_id")))
     counts = stage(word_counts(learnt), "counts")
     words, least = vocabulary(counts)
-    model = train(learnt, words)
-    partial = stage(head_scores(docs, words, model).withColumn("row", F.monotonically_increasing_id()), "scores")
-    tail = partial.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.tf")
+    texts = stage(encoded(docs, words).withColumn("row", F.monotonically_increasing_id()), "texts")
+    scored = class_scores(texts, words, train(texts.filter(~F.col("held_out")), words))
+    tail = texts.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.tf")
     rare = counts.filter(F.col("n") < least)
     logs = F.col("tf") * F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(0.5))
     sums = tail.join(rare, "word", "left").groupBy("row").agg(
-        F.sum(logs).alias("logs"), F.sum(F.when(F.col("n").isNotNull(), F.col("tf")).otherwise(0)).alias("known")
+        F.sum(logs).alias("rest"), F.sum(F.when(F.col("n").isNotNull(), F.col("tf")).otherwise(0)).alias("known")
     )
-    rest = F.coalesce("logs", F.lit(0.0))
+    rest = F.coalesce("rest", F.lit(0.0))
     whole = float(np.log10(words.tokens + 0.5 * (words.distinct + 1)))
-    return partial.drop("tail").join(sums, "row", "left").select(
+    return scored.join(sums, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(words.tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + rest - F.col("n_tokens") * F.lit(whole)).alias("base_score"),
-        (F.col("score") + rest).alias("score"),
+        (F.col("logs") + F.col("share") + rest).alias("score"),
     )
 
 

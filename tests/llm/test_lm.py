@@ -9,9 +9,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
+from pyspark.sql import functions as F
+
 from orcaspark.llm import lm, registry
 from tests.llm.conftest import CLASHES, hard_rows
 
@@ -101,7 +104,8 @@ def test_probabilities_of_all_words_add_up_to_one(session, docs):
     frame = docs([" ".join(generator.choices(vocabulary, weights=range(1, 73), k=60)) for _ in range(50)])
     counts = lm.word_counts(frame)
     words, _ = lm.vocabulary(counts, 1000, 10, 5)
-    model = lm.train(frame, words)
+    texts = lm.encoded(frame, words).withColumn("row", F.lit(1))
+    model = lm.train(texts, words)
     known = [(r["word"].encode(), r["n"]) for r in counts.collect()]
     classes, totals = len(words.masses), lm.all_totals(session, model)
     for history in ([0, 0], [3, 1], [classes - 1, 2]):
@@ -153,3 +157,15 @@ def test_pieces_of_long_texts():
         lm.PIECE = size
     assert len(pieces) > 50
     assert [t for p in pieces for t in p] == raw.lower().split() + [lm.END]
+
+
+def test_histories_stay_inside_their_text():
+    column = pa.array([[1, 2, 3], [], [4], [5, 6]], pa.list_(pa.int16()))
+    old, lm.BLOCK = lm.BLOCK, 4
+    try:
+        blocks = list(lm.token_blocks(column, 9))
+    finally:
+        lm.BLOCK = old
+    rows, history, token = (np.concatenate([b[i] for b in blocks]) for i in range(3))
+    assert rows.tolist() == [0, 0, 0, 2, 3, 3] and token.tolist() == [1, 2, 3, 4, 5, 6]
+    assert history.tolist() == [[9, 9], [1, 9], [2, 1], [9, 9], [9, 9], [5, 9]]
