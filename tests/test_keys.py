@@ -71,7 +71,9 @@ def test_last_correction_wins_and_rows_never_multiply(rows):
     )
     by_order = as_dicts(keys.apply_corrections(df, fixes, "linha"))
     assert [r["PROJETO"] for r in by_order] == ["x"] * 3
-    assert [r["PROJETO"] for r in as_dicts(keys.apply_corrections(df, fixes))] == ["z"] * 3
+    assert [r["PROJETO"] for r in as_dicts(keys.apply_corrections(df, fixes))] == ["x"] * 3
+    unordered = keys.apply_corrections(df, fixes.drop("linha"))
+    assert [r["PROJETO"] for r in as_dicts(unordered)] == ["z"] * 3
 
 
 def test_empty_corrections_only_keep_the_original_key(rows):

@@ -119,8 +119,10 @@ def test_sunburst_and_heatmap(rows):
     df = rows(data, BASE)
     levels = {(r["rotulo"], r["pai"]): (r["valor"], r["perc_exec"]) for r in as_dicts(reports.sunburst(df))}
     assert levels == {("n1", "p"): (100, 50.0), ("n2", "p"): (300, 10.0), ("p", ""): (400, 20.0)}
-    wide = as_dicts(reports.heatmap_pivot(df, ["n1", "n3"]))
-    assert wide == [{"UNIDADE_FINAL": "U", "PROJETO": "p", "n1": 50.0, "n3": None}]
+    wide = as_dicts(reports.heatmap_pivot(df, ["n1", "n2", "n3"]))
+    assert wide == [{"UNIDADE_FINAL": "U", "PROJETO": "p", "n1": 50.0, "n2": 10.0, "n3": None}]
+    with pytest.raises(ValueError, match="n2"):
+        reports.heatmap_pivot(df, ["n1", "n3"])
 
 
 @pytest.mark.parametrize(
