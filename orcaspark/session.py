@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from uuid import uuid4
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,11 +48,52 @@ def staging_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/stages-{spark.sparkContext.applicationId}"
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the staging folder."""
+    return f"{staging_root(spark)}/{label}-{uuid4().hex}"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table this application has staged; results read from them end with it."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staging_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, staging_root(spark))
+
+
+#: Paths staged in the scope that is open, and where each staged table lies.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+_places: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """A scope whose staged tables are deleted at its end, also if it fails.
+
+    What is to outlive the scope is written to a place of its own before; scopes can be nested, and a
+    table belongs to the innermost one open when it is staged.
+    """
+    made: list[str] = []
+    before = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(before)
+        for path in made:
+            delete(spark, path)
+
+
+@contextmanager
+def collecting(made: list[str]) -> Iterator[None]:
+    """A scope that lists the paths of its staged tables in ``made`` and leaves their deletion to the caller."""
+    before = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(before)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -56,14 +101,28 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     Used where one result feeds several branches: they then read a columnar
     table (pruned, with real sizes for join planning) and a lost executor costs
-    a re-read, not a re-run of everything upstream. ``release`` drops all of them.
+    a re-read, not a re-run of everything upstream. The table goes with the ``staging`` scope, by
+    ``unstage``, or with ``release``.
     """
-    path = f"{staging_root(df.sparkSession)}/{label}-{uuid4().hex}"
+    path = scratch(df.sparkSession, label)
+    if _scope.get() is not None:
+        _scope.get().append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    _places[staged] = path
+    return staged
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more; other frames are left alone."""
+    for df in frames:
+        path = _places.pop(df, None)
+        if path is not None:
+            delete(df.sparkSession, path)
 
 
 def stage_all(frames: dict[str, DataFrame]) -> list[DataFrame]:
     """Stage several independent results; their jobs share the executors."""
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        return list(pool.map(lambda item: stage(item[1], item[0]), frames.items()))
+        jobs = [pool.submit(copy_context().run, stage, df, label) for label, df in frames.items()]
+        return [job.result() for job in jobs]

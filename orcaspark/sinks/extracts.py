@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType, StringType, StructField, StructType
 
 UNIT = "UNIDADE_FINAL"
 SLUG = "unit_slug"
@@ -26,6 +26,29 @@ def write_unit_extracts(df: DataFrame, names: DataFrame, path: str, source: str
     rows.write.mode("overwrite").format(source).options(**options).partitionBy(SLUG).save(path)
 
 
+def read_unit_extracts(template: DataFrame, names: DataFrame, path: str, source: str = "parquet") -> DataFrame:
+    """Rows of all units' folders, with the columns of ``template`` and the folder's ``unit_slug``.
+
+    Folders are found as partitions, their names kept as texts. Raises ``ValueError`` if a folder is
+    none of ``names`` or holds rows of another unit.
+    """
+    spark = template.sparkSession
+    schema = StructType([*template.schema.fields, StructField(SLUG, StringType())])
+    options = {"header": "true"} if source == "csv" else {}
+    rows = spark.read.schema(schema).format(source).options(**options).load(path)
+    strangers = rows.select(UNIT, SLUG).distinct().join(names.select(UNIT, SLUG), [UNIT, SLUG], "left_anti")
+    found = [r[SLUG] for r in strangers.limit(5).collect()]
+    if found:
+        raise ValueError(f"folders {found} hold rows of other units")
+    return rows
+
+
+def read_unit_documents(spark, path: str) -> DataFrame:
+    """Documents written by ``write_unit_documents``: ``unit_slug, documento``."""
+    schema = StructType([StructField("documento", StringType()), StructField(SLUG, StringType())])
+    return spark.read.schema(schema).text(path).select(SLUG, "documento")
+
+
 def write_unit_documents(documents: DataFrame, path: str) -> None:
     """One text file per unit holding its JSON document."""
     rows = documents.select(SLUG, F.col("documento").alias("value"))

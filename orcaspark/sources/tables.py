@@ -74,8 +74,17 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def catalog_table(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
+    """Table or view of the catalogue in the columns and types of ``schema``; an absent one reads as empty.
+
+    So a source that does not exist yet, such as commitments or corrections, ends no run. A table that
+    exists without a column of ``schema`` raises ``KeyError``.
+    """
+    if not spark.catalog.tableExists(name):
+        return empty(spark, schema)
+    return conform(spark.table(name), schema, name)
+
+
 def read_corrections(spark: SparkSession, table: str) -> DataFrame:
     """Correction table by catalogue name; a missing one reads as empty."""
-    if not spark.catalog.tableExists(table):
-        return empty(spark, KEY_CORRECTIONS)
-    return spark.table(table).select(*KEY_CORRECTIONS.fieldNames())
+    return catalog_table(spark, table, KEY_CORRECTIONS)

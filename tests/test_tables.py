@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime
 from decimal import Decimal
 
@@ -8,10 +9,12 @@ from pyspark.sql import functions as F
 
 from orcaspark import schemas
 from orcaspark.operators.merge import check_keys, merge_rows
+from orcaspark.operators.rows import last_by_key
 from orcaspark.sinks import extracts, tables
 from orcaspark.sources import lookup_files, sql_files
 from orcaspark.sources import tables as readers
-from orcaspark.sources.versioned import VersionedTable, snapshot
+from orcaspark.session import stage, stage_all, staging, unstage
+from orcaspark.sources.versioned import CommitConflict, VersionedTable, snapshot
 
 ROW = "k string, v int"
 
@@ -60,6 +63,111 @@ def test_upsert_creates_updates_and_is_idempotent(spark, rows, tmp_path):
     assert table.version() == 3
 
 
+def listed(table):
+    return set(table._names(table.manifest(table.commit())))
+
+
+def ranges(spark, count, months=12):
+    """Rows of ``count`` keys a month, in files of a month or less."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    return spark.range(count * months).select(
+        F.lit(2025).alias("ANO"), (F.col("id") % months + 1).cast("int").alias("MES"),
+        F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("v"),
+    )
+
+
+def test_a_load_rewrites_only_files_that_hold_its_keys(spark, rows, tmp_path):
+    table, keys = VersionedTable(spark, str(tmp_path / "t")), ["ANO", "MES", "k"]
+    try:
+        first = ranges(spark, 50)
+        tables.upsert(table, first, keys)
+        before = listed(table)
+        assert len(before) >= 4
+        change = rows([(2025, 3, "k2", -1), (2025, 3, "new", -2), (2026, 1, "k0", -3)], first.schema)
+        assert tables.upsert(table, change, keys) == 2
+        after = listed(table)
+        assert len(before & after) >= len(before) - 2 and len(after - before) >= 1
+        want = merge_rows(first, change, keys)
+        assert table.read().exceptAll(want).isEmpty() and table.read().count() == want.count() == 602
+        assert table.read(1).exceptAll(first).isEmpty() and table.read(1).count() == 600
+        stored = table.manifest(table.commit()).agg(F.sum("linhas")).first()[0]
+        assert stored == 602
+        only_new = rows([(2030, 1, "x", 1)], first.schema)
+        tables.upsert(table, only_new, keys)
+        assert after < listed(table)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_a_table_of_other_keys_is_rewritten_once(spark, rows, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(rows([("a", 1), ("b", 2)], ROW))
+    assert table.commit().keys == []
+    tables.upsert(table, rows([("b", 3)], ROW), ["k"])
+    assert table.commit().keys == ["k"] and content(table.read(), "k", "v") == [("a", 1), ("b", 3)]
+
+
+def test_two_writers_cannot_share_a_version(spark, rows, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(rows([("a", 1)], ROW), ["k"])
+    slow = VersionedTable(spark, table.root)
+    start = slow.commit()
+    slow.commit = lambda version=None: start  # it read the table before the other writer's load
+    table.merge(rows([("b", 2)], ROW), ["k"])
+    with pytest.raises(CommitConflict):
+        slow.merge(rows([("c", 3)], ROW), ["k"])
+    assert table.version() == 2 and content(table.read(), "k", "v") == [("a", 1), ("b", 2)]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2  # the loser's files are gone
+    del slow.commit
+    calls = []
+
+    def conflict_once(source, keys, merge=slow.merge):
+        calls.append(1)
+        if len(calls) == 1:
+            raise CommitConflict("first")
+        return merge(source, keys)
+
+    slow.merge = conflict_once
+    assert tables.upsert(slow, rows([("c", 3)], ROW), ["k"]) == 3
+    assert content(table.read(), "k", "v") == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_old_versions_are_deleted_and_their_shared_files_stay(spark, rows, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), kept=2)
+    for number in range(5):
+        tables.upsert(table, rows([(f"k{number}", number)], ROW), ["k"])
+    assert table.versions() == [4, 5] and table.version() == 5
+    assert content(table.read(), "k", "v") == [(f"k{n}", n) for n in range(5)]
+    assert table.read(4).count() == 4
+    assert len(list((tmp_path / "t" / "manifests").iterdir())) == 2
+    table.replace(rows([("z", 1)], ROW))
+    table.replace(rows([("z", 2)], ROW))
+    loads = list((tmp_path / "t" / "data").iterdir())
+    assert len(loads) == 2 and content(table.read(), "k", "v") == [("z", 2)]
+
+
+def test_empty_versions_have_columns(spark, rows, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(rows([], ROW))
+    assert table.read().columns == ["k", "v"] and table.read().count() == 0
+    tables.upsert(table, rows([("a", 1)], ROW), ["k"])
+    assert content(table.read(), "k", "v") == [("a", 1)]
+
+
+def test_staged_tables_go_with_their_scope(spark, rows):
+    kept = stage(rows([("a", 1)], ROW), "kept")
+    with staging(spark):
+        inner = stage(rows([("b", 2)], ROW), "inner")
+        both = stage_all({"x": inner, "y": kept})
+        assert [df.count() for df in both] == [1, 1]
+        paths = [df.inputFiles()[0] for df in [inner, *both]]
+    assert not any(os.path.exists(p.removeprefix("file://")) for p in paths)
+    place = kept.inputFiles()[0].removeprefix("file://")
+    assert kept.count() == 1 and os.path.exists(place)
+    unstage(kept, rows([("c", 3)], ROW))
+    assert not os.path.exists(place)
+
+
 def test_partitioned_upsert_rewrites_touched_partitions_only(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     schema = "ANO int, k string, v int"
@@ -109,9 +217,9 @@ def test_snapshot_is_built_once_and_rebuilt_when_unreadable(spark, rows, tmp_pat
     table = VersionedTable(spark, str(tmp_path / "s"))
     for _ in range(2):
         assert snapshot(table, build).collect() == [("a", 1)]
-    for part in (tmp_path / "s" / "data" / "v=1").glob("*.parquet"):
+    for part in (tmp_path / "s" / "data").glob("*/*.parquet"):
         part.write_bytes(b"broken")
-    for checksum in (tmp_path / "s" / "data" / "v=1").glob(".*.crc"):
+    for checksum in (tmp_path / "s" / "data").glob("*/.*.crc"):
         checksum.write_bytes(b"")
     assert snapshot(table, build).collect() == [("a", 2)]
     assert table.version() == 2
@@ -127,8 +235,41 @@ def test_separated_file(spark, tmp_path):
         ("A", "a"), ("C", None), ("A", "last"), ("D", "d"), ("x;y", "z"),
     ]
     assert lookup_files.read_unit_map(spark, str(path)).count() == 5
-    surplus = lookup_files.bad_lines(spark, str(path)).select("nm_unidade_padronizada", "excesso")
-    assert surplus.collect() == [("B", "extra")]
+    surplus = lookup_files.bad_lines(spark, str(path)).select(lookup_files.LINE)
+    assert surplus.collect() == [("B;b;extra;fields",)]
+
+
+def test_lines_with_surplus_fields_are_rejected_whole(spark, tmp_path):
+    path = tmp_path / "u.csv"
+    lines = ["a;b", "z;3;;4", "x;1;;", '"q;r";"s ""t"";u"', '"q;r";2;3', 'w;"1";', "v; 5 ", "a;b", ";;", '"";"";""']
+    path.write_text("\n".join(lines) + "\n")
+    good = lookup_files.read_separated(spark, str(path)).orderBy("linha")
+    assert good.select("a", "b").collect() == [
+        ("x", "1"), ("q;r", 's "t";u'), ("w", "1"), ("v", " 5 "), ("a", "b"), (None, None),
+    ]
+    bad = lookup_files.bad_lines(spark, str(path)).orderBy("linha")
+    assert [r[lookup_files.LINE] for r in bad.collect()] == ["z;3;;4", '"q;r";2;3', '"";"";""']
+
+
+def test_reading_order_of_files_read_in_many_splits(spark, tmp_path):
+    for part in range(3):
+        lines = ["k;v", *(f"{i % 7};{part * 1000 + i}" for i in range(1000))]
+        (tmp_path / f"part-{part}.csv").write_text("\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        found = lookup_files.read_separated(spark, str(tmp_path))
+        assert found.select("linha.bloco").distinct().count() > 3
+        assert [int(r["v"]) for r in found.orderBy("linha").collect()] == list(range(3000))
+        last = last_by_key(found, ["k"], "linha").collect()
+        assert {r["k"]: int(r["v"]) for r in last} == {str(i % 7): 2000 + i for i in range(993, 1000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_line_with_the_readers_own_separator_stays_whole(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("a;b\nx\u0001y;1\n")
+    assert lookup_files.read_separated(spark, str(tmp_path / "u.csv")).select("a", "b").collect() == [("x\u0001y", "1")]
 
 
 def test_nature_file_keeps_the_last_text(spark, tmp_path):
