@@ -142,6 +142,19 @@ def committed_flow(
     )
 
 
+def committed_totals(committed: DataFrame) -> DataFrame:
+    """Commitments summed by everything but the amount, before they repeat on the leaves of their code."""
+    by = [c for c in committed.columns if c != "COMPROMETIDO"]
+    return committed.groupBy(*by).agg(F.sum("COMPROMETIDO").cast(AMOUNT_SUM).alias("COMPROMETIDO"))
+
+
+def consolidate_committed(
+    committed: DataFrame, reference: DataFrame, corrections: DataFrame, allocate: str = "all"
+) -> DataFrame:
+    """Consolidated committed flow. Amounts are summed before the join that repeats them, and once more after it."""
+    return consolidate(committed_flow(committed_totals(committed), reference, corrections, allocate))
+
+
 def correct_again(enriched: DataFrame, reference: DataFrame, corrections: DataFrame) -> DataFrame:
     """Second pass after new corrections were accepted: repair the keys, join afresh."""
     attached = [c for c in reference.columns if c not in (*MATCH_KEYS, KEY, ORIGINAL_KEY)]

@@ -20,6 +20,7 @@ from orcaspark.operators import base as categories
 from orcaspark.operators import correlate, enrich, keys, ledger, merge, quality, reconcile, repair
 from orcaspark.operators import reports, units
 from orcaspark.operators.rows import READING_ORDER, rejected
+from orcaspark.plans import loads
 from orcaspark.plans.analysis import Sides, both_sides, build_base, planned_vs_executed
 from orcaspark.session import stage, tune
 from orcaspark.sinks.extracts import brazilian
@@ -111,7 +112,7 @@ def reconcile_five_keys(spark, d):
 
 
 def reconcile_strict(spark, d):
-    planned = reconcile.plan_snapshot(star.planned_enriched(spark, d), PPA)
+    planned = reconcile.plan_snapshot(star.planned_enriched(spark, d, YEAR), PPA)
     return reconcile.reconcile_strict(planned, executed_monthly(spark, d))
 
 
@@ -182,7 +183,7 @@ def consolidate(spark, d):
 
 
 def consolidate_committed(spark, d):
-    return enrich.consolidate(enrich_committed(spark, d))
+    return enrich.consolidate_committed(committed(spark, d), reference(spark, d), star.corrections(spark, d))
 
 
 def upsert(spark, d):
@@ -309,6 +310,24 @@ def unit_json(spark, d):
     return units.unit_documents(cube, display_names(spark, d, cube))
 
 
+def committed_extract(spark, d):
+    return correlate.committed_extract(committed(spark, d), base(spark, d), YEAR)
+
+
+def extract_read(rows: Query, source: str = "parquet") -> Query:
+    """Rows with a unit, written to a folder a unit and read back."""
+    return lambda spark, d: loads.extract_read(rows(spark, d), display_names(spark, d, base(spark, d)), source)
+
+
+def documents_read(spark, d):
+    return loads.documents_read(base(spark, d), lambda cube: display_names(spark, d, cube))
+
+
+def enrichment_run(part: str) -> Query:
+    """Part of the result of two whole runs in a row."""
+    return lambda spark, d: getattr(loads.enrichment_run(spark, d, committed(spark, d)), part)
+
+
 def queries() -> dict[str, Query]:
     plain: dict[str, Query] = {
         "executed_monthly": executed_monthly,
@@ -371,6 +390,29 @@ def queries() -> dict[str, Query]:
         "money_texts": money_texts,
         "brazilian_text": on_base(brazilian),
         "json_map_rows": json_map,
+        "planned_scan": loads.planned_scan,
+        "file_last_rows": loads.file_last_rows,
+        "file_bad_lines": loads.file_bad_lines,
+        "unit_map_file": loads.unit_map_file,
+        "directory_file": loads.directory_file,
+        "nature_file": loads.nature_file,
+        "query_file": loads.query_file,
+        "commitments_if_any": lambda spark, d: loads.commitments_if_any(committed(spark, d)),
+        "corrections_if_any": loads.corrections_if_any,
+        "usable_flows": lambda spark, d: loads.usable_flows(enriched(spark, d), enrich_committed(spark, d)),
+        "upsert_written": loads.upsert_written,
+        "upsert_keys_written": loads.upsert_keys_written,
+        "snapshot_read": lambda spark, d: loads.snapshot_read(lambda: executed_monthly(spark, d)),
+        "corrections_saved": loads.corrections_saved,
+        "corrections_rebuilt": lambda spark, d: loads.corrections_rebuilt(enriched(spark, d)),
+        "corrections_loaded": loads.corrections_loaded,
+        "unit_extracts_read": extract_read(base),
+        "supplier_extracts_read": extract_read(supplier_extract),
+        "committed_extracts_read": extract_read(committed_extract),
+        "documents_read": documents_read,
+        "enrichment_run": enrichment_run("planned"),
+        "enrichment_run_committed": enrichment_run("committed"),
+        "enrichment_run_rejects": enrichment_run("rejected_planned"),
         "unit_json": unit_json,
         "unit_json_rows": lambda spark, d: units.document_rows(unit_json(spark, d)),
     }
