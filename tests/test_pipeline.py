@@ -1,9 +1,11 @@
 import json
+import os
 
 from conftest import SF, as_dicts
 from pyspark.sql import functions as F
 
 from orcaspark.plans import analysis, pipeline, registry
+from orcaspark.session import staging_root
 from orcaspark.sources import star
 
 
@@ -16,6 +18,7 @@ def test_enrichment_run(spark, tmp_path):
         star.corrections(spark, SF),
         out,
     )
+    before_run = staged_folders(spark)
     result = pipeline.run_enrichment(spark, *arguments)
     want = registry.consolidate(spark, SF)
     assert result.planned.exceptAll(want).isEmpty() and result.planned.count() == want.count()
@@ -23,7 +26,14 @@ def test_enrichment_run(spark, tmp_path):
     again = pipeline.run_enrichment(spark, *arguments)
     assert again.committed.agg(F.sum("Valor_Ajustado")).first() == before
     assert again.planned.count() == want.count()
-    assert not result.suggestions.isEmpty()
+    assert not again.suggestions.isEmpty()
+    left = [p for p in staged_folders(spark) if p not in before_run]
+    assert not left  # the run deletes what it staged
+
+
+def staged_folders(spark):
+    root = staging_root(spark).removeprefix("file://")
+    return set(os.listdir(root)) if os.path.isdir(root) else set()
 
 
 def test_enrichment_run_without_usable_rows(spark, tmp_path):

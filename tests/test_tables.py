@@ -297,6 +297,53 @@ def test_json_map_file(spark, tmp_path):
     assert found == [("a|b|c|1", "x|b|c|1"), ("é", "ê")]
 
 
+def test_json_maps_are_read_by_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{\n  "a|b|c|1": "x, \\"y\\"|b|c|1",\n  "k": "first"\n}\n')
+    (tmp_path / "b.json").write_text('{"k": "last", "m": "n"}\n{"o": "p"}\n')
+    found = content(lookup_files.read_json_map(spark, str(tmp_path)), "ChaveQuebrada", "ChaveCorreta")
+    assert found == [("a|b|c|1", 'x, "y"|b|c|1'), ("k", "last"), ("m", "n"), ("o", "p")]
+    (tmp_path / "b.json").unlink()
+    (tmp_path / "a.json").write_text('{"k":\n"first", "k":\n"last",\n"é": "ê"}')
+    found = content(lookup_files.read_json_map(spark, str(tmp_path)), "ChaveQuebrada", "ChaveCorreta")
+    assert found == [("k", "last"), ("é", "ê")]
+
+
+def test_correction_jobs(spark, rows, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "c"))
+    (tmp_path / "m.json").write_text(json.dumps({"a|A|U|1": "b|A|U|1", "old": "new"}, indent=1))
+    assert tables.load_corrections_job(table, str(tmp_path / "m.json")) == 1
+    schema = "CHAVE_CONCAT_original string, CHAVE_CONCAT string"
+    result = rows([("a|A|U|1", "c|A|U|1"), ("a|A|U|1", "c|A|U|1"), ("same", "same"), (None, "x")], schema)
+    assert tables.rebuild_corrections_job(table, result, keep_others=True) == 2
+    names = schemas.KEY_CORRECTIONS.fieldNames()
+    assert content(table.read(), *names) == [("a|A|U|1", "c|A|U|1"), ("old", "new")]
+    assert tables.rebuild_corrections_job(table, result) == 3
+    assert content(table.read(), *names) == [("a|A|U|1", "c|A|U|1")]
+    assert tables.rebuild_corrections_job(table, result.filter("false")) == 3
+
+
+def test_a_correction_saved_meanwhile_is_not_lost(spark, rows, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "c"))
+    tables.save_corrections(table, rows([("a", "b")], schemas.KEY_CORRECTIONS))
+    slow = VersionedTable(spark, table.root)
+    slow.version = lambda: 1  # the job began before the other writer's load
+    tables.save_corrections(table, rows([("c", "d")], schemas.KEY_CORRECTIONS))
+    with pytest.raises(CommitConflict):
+        tables.rebuild_corrections_job(slow, rows([("x", "y")], "CHAVE_CONCAT_original string, CHAVE_CONCAT string"))
+    assert content(table.read(), "ChaveQuebrada") == [("a",), ("c",)]
+
+
+def test_absent_sources_read_as_empty(spark, rows):
+    absent = readers.catalog_table(spark, "no_such_commitments", schemas.COMMITTED)
+    assert absent.isEmpty() and absent.schema == schemas.COMMITTED
+    rows([("1.2", "2025", 3.0, 1.5, "x")], "CODCCUSTO string, ANO string, MES double, COMPROMETIDO double, extra string").createOrReplaceTempView("reservas")
+    found = readers.catalog_table(spark, "reservas", schemas.COMMITTED)
+    assert found.schema == schemas.COMMITTED and found.collect() == [("1.2", 2025, 3, Decimal("1.50"))]
+    rows([(1,)], "x int").createOrReplaceTempView("sem_colunas")
+    with pytest.raises(KeyError, match="CODCCUSTO"):
+        readers.catalog_table(spark, "sem_colunas", schemas.COMMITTED)
+
+
 def test_query_files(spark, tmp_path):
     path = tmp_path / "q.sql"
     path.write_text("SELECT * FROM minha_tabela;", encoding="utf-8")
@@ -336,4 +383,9 @@ def test_unit_extracts_and_brazilian_csv(spark, rows, tmp_path):
     extracts.write_unit_extracts(df, names, str(tmp_path / "c"), "csv")
     extracts.write_brazilian_csv(df.coalesce(1), str(tmp_path / "b"))
     lines = next((tmp_path / "b").glob("*.csv")).read_text().splitlines()
+    back = extracts.read_unit_extracts(df, names, str(tmp_path / "e"))
+    assert content(back, "UNIDADE_FINAL", "n", "unit_slug") == [("U V", 1, "U_V"), ("W/X", 2, "W_X")]
+    assert extracts.read_unit_extracts(df, names, str(tmp_path / "c"), "csv").count() == 2
+    with pytest.raises(ValueError, match="W_X"):
+        extracts.read_unit_extracts(df, names.filter("unit_slug = 'U_V'"), str(tmp_path / "e"))
     assert lines == ["UNIDADE_FINAL;valor;d;n", "U V;1234,50;1500000000,000000;1", "W/X;-0,10;0,25;2"]
