@@ -287,6 +287,10 @@ def heatmap(df: DataFrame, project_type: str = EXCLUSIVE) -> DataFrame:
     )
 
 
+#: Natures that become columns without being listed, at most.
+MOST_COLUMNS = 500
+
+
 def heatmap_pivot(
     df: DataFrame, natures: Sequence[str] | None = None, project_type: str = EXCLUSIVE
 ) -> DataFrame:
@@ -296,8 +300,13 @@ def heatmap_pivot(
     ``ValueError`` tells the others; without it the columns are those of the data, by name.
     """
     cells = heatmap(df, project_type)
-    found = sorted(r[0] for r in cells.select(NATURE).distinct().collect())
-    unlisted = [n for n in found if natures is not None and n not in natures]
+    of_cells = cells.select(NATURE).distinct()
+    if natures is not None:
+        of_cells = of_cells.filter(~F.col(NATURE).isin(list(natures)))
+    found = sorted(r[0] for r in of_cells.limit(MOST_COLUMNS + 1).collect())
+    if natures is None and len(found) > MOST_COLUMNS:
+        raise ValueError(f"more than {MOST_COLUMNS} natures: name those that are to be columns")
+    unlisted = found if natures is not None else []
     if unlisted:
         raise ValueError(f"natures without a column: {unlisted}")
     columns = found if natures is None else list(natures)
