@@ -46,12 +46,16 @@ HOLDERS = (BLOCKS - {"p", "hr", "html", "body"}) | {"a"}
 # An opening tag of these ends an open one of the same kind.
 SELF_CLOSING = frozenset("p li dd dt tr td th option h1 h2 h3 h4 h5 h6".split())
 
+# A quote begins a value only after an equals sign, and only if it is closed; without one a tag ends before the next.
+# Nothing is given back once matched, so every part of a page is read a bounded number of times.
+ATTRIBUTES = r"""(?:[^<>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
 TOKEN = re.compile(
-    rf"""<!--.*?(?:-->|\Z)|<({HIDDEN})\b(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\b[^>]*>|\Z)"""
-    r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""",
+    rf"""<!--.*?(?:-->|\Z)|<({HIDDEN})\b{ATTRIBUTES}>.*?(?:</\1\b[^>]*>|\Z)"""
+    rf"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)({ATTRIBUTES})>|<[!?][^<>]*+>""",
     re.S | re.I,
 )
 NAMING = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+LABEL = re.compile(r"<article\b", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 
 #: Cost of a tag that only occurs outside articles, and what every tag costs at least.
@@ -204,7 +208,7 @@ def learn(pages: DataFrame) -> Weights:
     def convert(batch: pa.RecordBatch) -> dict:
         inside, total, pages_of = Counter(), Counter(), Counter()
         for page in texts(batch["html"]):
-            if "<article" in page or "<ARTICLE" in page:
+            if LABEL.search(page):
                 seen = {("page", "")}
                 for block in blocks(page):
                     counted = [("tag", t, 1) for t in block.tags]

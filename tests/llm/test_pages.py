@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as references
 import re
+import time
 
 import pytest
 from conftest import SF
@@ -178,3 +179,34 @@ def test_mined_rules_and_matching(session):
     for i, (items, _) in enumerate(rows):
         fitting = [(c, s, v) for (needed, v), (c, s) in mined.items() if set(needed) <= set(items)]
         assert got.get(i) == (max(fitting)[2] if fitting else None)
+
+
+def test_quotes_count_only_as_values():
+    """Apostrophes and quotes in texts and odd attributes swallow no paragraph."""
+    pages = {
+        "<article><p title=it's>Hello don't go away now</p><p>Second paragraph here</p></article>": [
+            "Hello don't go away now", "Second paragraph here",
+        ],
+        '<article><p>if x<y then "stop</p><p>Second para isn\'t lost > here</p></article>': [
+            'if x<y then "stop', "Second para isn't lost > here",
+        ],
+        """<p title = "a > b" class='c > d' e=f>one</p><p data-x="never closed>two</p><P>three</P>""": ["one", "two", "three"],
+    }
+    for page, want in pages.items():
+        assert [b.text() for b in html.blocks(page)] == want
+
+
+@pytest.mark.parametrize("piece", ['<p title="x ', "<p a='", "<a ", "<!", '<a b="" ', "<p a='\"", "<svg>", "<script a=\""])
+def test_hostile_pages_take_linear_time(piece):
+    times = []
+    for count in (20_000, 200_000):
+        begin = time.perf_counter()
+        html.blocks(piece * count)
+        times.append(time.perf_counter() - begin)
+    assert times[1] < 40 * times[0] + 1
+
+
+def test_articles_in_any_case_are_labels(session):
+    rows = [(i, "u", f"<html><body><Article class=x><p>words of the text {i}</p></Article><p>rest</p></body></html>") for i in range(4)]
+    weights = html.learn(session.createDataFrame(rows, "page_id bigint, url string, html string"))
+    assert weights.words["article"] > 0.9
