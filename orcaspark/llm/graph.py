@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orcaspark.session import stage
+from orcaspark.session import stage, unstage
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,14 +23,17 @@ def components(edges: DataFrame) -> DataFrame:
                    .select("node", F.least("node", "label").alias("label")), "labels")
     while True:
         offered = (
-            both.join(labels.withColumnRenamed("node", "a"), "a")
+            both.join(labels.select(F.col("node").alias("a"), "label"), "a")
             .groupBy(F.col("b").alias("node"))
             .agg(F.min("label").alias("offer"))
         )
-        better = stage(labels.join(offered, "node").select(
+        better = stage(labels.select("node", "label").join(offered, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "offer").alias("label")), "labels")
         jump = better.select(F.col("node").alias("label"), F.col("label").alias("further"))
         new = stage(better.join(jump, "label").select("node", "old", F.col("further").alias("label")), "labels")
-        if new.filter("old <> label").isEmpty():
-            return labels
-        labels = new.select("node", "label")
+        moved = not new.filter("old <> label").isEmpty()
+        if not moved:
+            unstage(both, better, new)
+            return labels.select("node", "label")
+        unstage(labels, better)
+        labels = new

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 
 from orcaspark.llm.common import per_batch, plain_names, table, texts
 from orcaspark.llm.graph import components
-from orcaspark.session import stage
+from orcaspark.operators.rows import lookup_join
+from orcaspark.session import stage, tune, unstage
 
 #: Words of a shingle, hash functions, and least edit similarity. One word in five changed leaves
 #: a third to a half of the two-word shingles, and an agreement of nearly 1 over all functions.
@@ -31,8 +34,10 @@ SHORT = 40
 LEAST_BINS, MOST_BINS, SECTION = 32, 1024, 512
 #: Hash values computed at a time for one text; word hashes a worker keeps.
 VALUES, KEPT = 2_000_000, 200_000
-#: Cells of an alignment row computed at a time, and the band tried first.
-CELLS, FIRST_BAND = 100_000, 12
+#: Cells of an alignment row computed at a time, the band tried first, and rows after which pairs are looked through.
+CELLS, FIRST_BAND, LOOK = 100_000, 12, 16
+#: Rounds in which each node meets one centre, before all centres of other classes are met.
+ROUNDS = 1
 #: Pairs of texts that are words in memory at a time.
 PAIRS = 128
 
@@ -117,10 +122,25 @@ def order_pairs(hashes: np.ndarray, width: int, odd: np.ndarray, salt: np.ndarra
 
 
 def bag_of(hashes: np.ndarray) -> bytes:
-    """How many words fall into each bin, 255 at most; halving the bins adds bin ``i`` and ``i + size / 2``."""
+    """How many words fall into each bin; halving the bins adds bin ``i`` and ``i + size / 2``.
+
+    The first byte is the width of the counts, which are as wide as the greatest needs.
+    """
     size = min(MOST_BINS, max(LEAST_BINS, 1 << (len(hashes) // 4).bit_length()))
     counts = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    width = next(w for w in (1, 2, 4, 8) if counts.max() < 1 << 8 * w)
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def bins_of(bag: bytes) -> np.ndarray:
+    return np.frombuffer(bag, dtype=f"<u{bag[0]}", offset=1).astype(np.int64)
+
+
+def fewest_edits(a: np.ndarray, b: np.ndarray) -> int:
+    """Least edits between texts with these bins: words that one has more often than the other."""
+    size = min(len(a), len(b))
+    more = a.reshape(-1, size).sum(axis=0) - b.reshape(-1, size).sum(axis=0)
+    return int(max(more[more > 0].sum(), -more[more < 0].sum()))
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -177,13 +197,20 @@ def banded(first: list[np.ndarray], second: list[np.ndarray], band: int) -> np.n
     steps = np.arange(width, dtype=np.int32)
     row = np.where(steps >= band, steps - band, far)[None, :].repeat(len(first), axis=0)
     result = np.full(len(first), far, dtype=np.int32)
+    place = np.arange(len(first))
 
     def settle(i: int) -> None:
         done = np.flatnonzero((sizes == i) & (np.abs(others - sizes) <= band))
-        result[done] = row[done, others[done] - sizes[done] + band]
+        result[place[done]] = row[done, others[done] - sizes[done] + band]
 
     settle(0)
     for i in range(1, rows + 1):
+        if i % LOOK == 0:  # edits never fall from row to row: pairs beyond the band stay there
+            alive = (sizes >= i) & (row.min(axis=1) <= band)
+            if not alive.any():
+                break
+            if alive.mean() < 0.8:
+                place, sizes, others, a, b, row = (x[alive] for x in (place, sizes, others, a, b, row))
         diagonal = row + (a[:, i - 1 : i] != b[:, i - 1 : i - 1 + width])
         diagonal[:, :-1] = np.minimum(diagonal[:, :-1], row[:, 1:] + 1)
         row = np.minimum.accumulate(diagonal - steps, axis=1) + steps
@@ -194,7 +221,7 @@ def banded(first: list[np.ndarray], second: list[np.ndarray], band: int) -> np.n
 def similar(pairs: list[tuple[list[str], list[str]]], least: float = SIMILARITY) -> list[bool]:
     """Whether the edit similarity, 1 - distance / longer length, of each pair of word lists is ``least`` or more.
 
-    A narrow band decides most pairs; the rest get the band that the allowed edits need.
+    A narrow band decides most pairs; the rest get one twice as wide, up to the allowed edits.
     """
     found = [False] * len(pairs)
     open_pairs = []
@@ -214,10 +241,11 @@ def similar(pairs: list[tuple[list[str], list[str]]], least: float = SIMILARITY)
             tail = differ[0] if len(differ) else shorter - start
             open_pairs.append((len(x) - tail - start, i, allowed, x[start : len(x) - tail], y[start : len(y) - tail]))
     open_pairs.sort(key=lambda p: p[0])
-    for narrow in (True, False):
+    limit = FIRST_BAND
+    while open_pairs:
         left, group, band = [], [], 0
         for pair in [*open_pairs, None]:
-            own = 0 if pair is None else min(pair[2], FIRST_BAND) if narrow else pair[2]
+            own = 0 if pair is None else min(pair[2], limit)
             wider = max(band, own)
             if group and (pair is None or (len(group) + 1) * (2 * wider + 1) > CELLS):
                 distances = banded([p[3] for p in group], [p[4] for p in group], band)
@@ -230,18 +258,64 @@ def similar(pairs: list[tuple[list[str], list[str]]], least: float = SIMILARITY)
             if pair is not None:
                 group.append(pair)
                 band = wider
-        open_pairs = left
+        open_pairs, limit = left, 2 * limit
     return found
 
 
-def verified(pairs: DataFrame, wording: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Pairs ``a``, ``b`` of keys whose texts are similar; ``wording`` has ``key`` and ``text``.
+@dataclass
+class Source:
+    """Where the facts on nodes come from: the documents, their sketches and the table of nodes."""
+
+    docs: DataFrame
+    rows: DataFrame
+    nodes: DataFrame
+
+    def sketches(self, of: DataFrame, *columns: str) -> DataFrame:
+        """``node`` and sketch columns of the nodes ``of``, from the rows a node is named after (repeated rows repeat)."""
+        wanted = of.select("node", F.col("key").alias("that_key"), F.col("doc_id").alias("that_id"))
+        return self.rows.join(wanted, matching(self.rows)).select("node", *columns)
+
+    def of_ids(self, pairs: DataFrame) -> DataFrame:
+        """Nodes that stand in a pair."""
+        ids = pairs.select("a").distinct().union(pairs.select("b").distinct()).toDF("node").distinct()
+        return stage(self.nodes.join(ids, "node", "left_semi"), "wanted")
 
-    The second text is fetched first, so the join on the first, a centre of many pairs, is
-    the one with hot keys, and it is a plain join that can be split.
+    def texts(self, of: DataFrame) -> DataFrame:
+        """``node`` and ``text`` of the nodes ``of``; only rows with their ids are hashed."""
+        wanted = of.select("node", F.col("key").alias("that_key"), F.col("doc_id").alias("that_id"))
+        docs = self.docs.select("doc_id", "text")
+        asked = docs.join(wanted.select("that_id").distinct(), docs["doc_id"].eqNullSafe(F.col("that_id")), "left_semi")
+        sources = keyed(asked)
+        return sources.join(wanted, matching(sources)).select("node", "text").dropDuplicates(["node"])
+
+
+def within_bags(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a``, ``b`` whose bags of words allow the similarity; ``longer`` is the longer text's words."""
+    both = pairs.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("a_bag")), "a")
+    both = both.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("b_bag")), "b")
+
+    def convert(batch: pa.RecordBatch) -> dict:
+        bounds = zip(batch["a_bag"].to_pylist(), batch["b_bag"].to_pylist(), batch["longer"].to_pylist(), strict=True)
+        kept = pa.array([fewest_edits(bins_of(x), bins_of(y)) <= (1 - least) * n + 1e-6 for x, y, n in bounds], pa.bool_())
+        return {"a": batch["a"].filter(kept), "b": batch["b"].filter(kept)}
+
+    return per_batch(both.select("a", "b", "longer", "a_bag", "b_bag"), convert, "a bigint, b bigint").distinct()
+
+
+def verified(pairs: DataFrame, source: Source, least: float = SIMILARITY) -> DataFrame:
+    """Staged pairs ``a``, ``b`` of nodes whose texts are similar, of pairs with ``longer``.
+
+    Bags rule pairs out before any text is read. The second text is fetched first, so the join on the
+    first, a centre of many pairs, is the one with hot keys, and it is a plain join that can be split.
     """
-    b = pairs.join(wording.select(F.col("key").alias("b"), F.col("text").alias("b_text")), "b")
-    both = b.join(wording.select(F.col("key").alias("a"), F.col("text").alias("a_text")), "a")
+    pairs = stage(pairs, "pairs")
+    asked = source.of_ids(pairs)
+    bags = source.sketches(asked, "bag").dropDuplicates(["node"])
+    possible = stage(within_bags(pairs, bags, least), "possible")
+    wanted = source.of_ids(possible)
+    wording = stage(source.texts(wanted), "wording")
+    b = possible.join(wording.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
+    both = b.join(wording.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
 
     def convert(batch: pa.RecordBatch) -> dict:
         linked = []
@@ -252,7 +326,9 @@ def verified(pairs: DataFrame, wording: DataFrame, least: float = SIMILARITY) ->
         linked = pa.array(linked, pa.bool_())
         return {"a": batch["a"].filter(linked), "b": batch["b"].filter(linked)}
 
-    return per_batch(both.select("a", "b", "a_text", "b_text"), convert, "a binary, b binary").distinct()
+    links = stage(per_batch(both.select("a", "b", "a_text", "b_text"), convert, "a bigint, b bigint").distinct(), "links")
+    unstage(pairs, asked, possible, wanted, wording)
+    return links
 
 
 # -- Classes -----------------------------------------------------------------------------
@@ -263,90 +339,113 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     ``class_id`` is the smallest doc_id of the class, ``kept`` is true for the rows of that
     id with the text of its first row (the smallest key). Texts with the same words, case and spacing aside,
-    are one node. Nodes with an equal value are a bucket; each is compared with the
-    bucket's centre, the node with the least key, and in a further round, where a bucket
-    still holds several classes, with its greatest. That joins large groups at the cost of
-    their size. Where the other members are still of several classes, every two of
+    are one node. Nodes with an equal value are a bucket, whose centres are its least and its
+    greatest node. Each node is first compared with the centre that it shares most buckets with, which
+    joins large groups at the cost of their size; then with every centre that is still of another class.
+    Where the other members of a bucket are still of several classes, every two of
     different classes are compared (``remaining_pairs``): so any two similar members of a
     bucket end in one class.
     Null and empty texts have no words and are classes of their own (class_id = doc_id).
     Null ids take part; a class with null ids only has a null class_id.
     """
-    rows = stage(sketched(docs), "sketches")
-    nodes = stage(
-        rows.filter("key is not null")
-        .groupBy("key")
-        .agg(F.min("doc_id").alias("doc_id"), *(F.any_value(c).alias(c) for c in ("n_words", "values", "bag"))),
-        "nodes",
-    )
-    members = nodes.select(F.explode(F.array_distinct("values")).alias("bucket"), "key", "n_words")
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stage(members.join(shared, "bucket"), "members")
-    if members.isEmpty():
+    tune(docs.sparkSession)
+    source = described(docs)
+    members = stage(bucketed(source), "members")
+    spokes = stage(centre_pairs(members, source.nodes, least), "spokes")
+    if spokes.isEmpty():
         labels = None
     else:
-        wording = stage(texts_of(docs, nodes, members.select("key").distinct()), "wording")
-        links = stage(verified(candidate_pairs(labelled(members, None), F.min, least), wording, least), "links")
-        found = verified(candidate_pairs(labelled(members, components(links)), F.max, least), wording, least)
-        links = stage(links.union(found), "links")
+        links, open_pairs, tried = None, spokes, []
+        for _ in range(ROUNDS):
+            best = F.struct("shared", -F.col("a"))
+            nearest = open_pairs.groupBy("b").agg(F.max_by(F.struct("a", "longer"), best).alias("best"))
+            tried.append(stage(nearest.select("best.a", "b", "best.longer"), "nearest"))
+            more = verified(tried[-1], source, least)
+            links = more if links is None else stage(links.union(more), "links")
+            seen = reduce(DataFrame.union, tried).select("a", "b")
+            open_pairs = stage(across(spokes, components(links)).join(seen, ["a", "b"], "left_anti"), "open")
+        links = stage(links.union(verified(open_pairs.drop("shared"), source, least)), "links")
         labels = components(links)
-        left = stage(remaining_pairs(labelled(members, labels), nodes.select("key", "bag"), least), "left")
+        left = stage(remaining_pairs(labelled(members, labels), source, least), "left")
         if not left.isEmpty():
-            labels = components(stage(links.union(verified(left, wording, least)), "links"))
-    return assigned(rows, nodes, labels)
+            labels = components(stage(links.union(verified(left, source, least)), "links"))
+        unstage(*tried, open_pairs, left)
+    found = assigned(source.rows, source.nodes, labels)
+    unstage(members, spokes)
+    return found
 
 
-def labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """``members`` with the class so far as ``label``; a node without links is a class."""
-    if labels is None:
-        return members.withColumn("label", F.col("key"))
-    found = members.join(labels.withColumnRenamed("node", "key"), "key", "left")
-    return stage(found.withColumn("label", F.coalesce("label", "key")), "members")
+def described(docs: DataFrame) -> Source:
+    """Sketches of all rows, and the numbered nodes: one for each key, named after its smallest doc_id."""
+    rows = stage(sketched(docs), "sketches")
+    nodes = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"))
+    return Source(docs, rows, stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes"))
 
 
-def candidate_pairs(members: DataFrame, pick, least: float) -> DataFrame:
-    """Pairs of a bucket's centre with its other members of another class, whose lengths allow the similarity."""
-    centres = members.groupBy("bucket").agg(
-        pick(F.struct("key", "n_words", "label")).alias("centre"),
-        F.min("label").alias("low"),
-        F.max("label").alias("high"),
-    )
-    centres = stage(centres.filter("low <> high").select("bucket", "centre"), "centres")
-    longer = F.greatest("n_words", "centre.n_words")
-    return (
-        members.join(centres, "bucket")
-        .filter((F.col("label") != F.col("centre.label")) & (F.abs(F.col("n_words") - F.col("centre.n_words")) <= (1 - least) * longer + 1e-6))
-        .select(F.col("centre.key").alias("a"), F.col("key").alias("b"))
-        .distinct()
+def bucketed(source: Source) -> DataFrame:
+    """Members of buckets with several nodes: ``bucket``, ``node``, ``first``, ``last`` (its centres)."""
+    members = source.sketches(source.nodes, F.explode("values").alias("bucket"))
+    centres = members.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"))
+    return lookup_join(members, centres.filter("first <> last"), ["bucket"], "inner")
+
+
+def centre_pairs(members: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Each centre ``a`` with each other member ``b`` of its buckets and their number, ``shared``, if lengths allow the similarity."""
+    pairs = members.select(F.col("first").alias("a"), F.col("node").alias("b")).union(
+        members.filter("node <> first").select(F.col("last").alias("a"), F.col("node").alias("b"))
     )
+    pairs = pairs.filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    sizes = nodes.select("node", "n_words")
+    for end in ("a", "b"):
+        pairs = lookup_join(pairs, sizes.toDF(end, f"{end}_words"), [end], "inner")
+    longer = F.greatest("a_words", "b_words")
+    fitting = F.abs(F.col("a_words") - F.col("b_words")) <= (1 - least) * longer + 1e-6
+    return pairs.filter(fitting).select("a", "b", "shared", longer.alias("longer"))
+
 
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of nodes that are still of different classes; a node without links is a class."""
+    found = pairs
+    for end in ("a", "b"):
+        found = lookup_join(found, labels.toDF(end, f"{end}_label"), [end])
+        found = found.withColumn(f"{end}_label", F.coalesce(f"{end}_label", end))
+    return found.filter("a_label <> b_label").select(*pairs.columns)
 
-def remaining_pairs(members: DataFrame, bags: DataFrame, least: float) -> DataFrame:
-    """Pairs of different classes in a bucket that neither centre settled, less those that can't be similar.
 
-    The centres, the least and the greatest key, have met every member. A large bucket is
+def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` with the class so far as ``label``; a node without links is a class."""
+    found = lookup_join(members, labels, ["node"])
+    return stage(found.withColumn("label", F.coalesce("label", "node")), "members")
+
+
+def remaining_pairs(members: DataFrame, source: Source, least: float) -> DataFrame:
+    """Pairs ``a``, ``b``, ``longer`` of different classes in a bucket that no centre settled and that may be similar.
+
+    The centres, the least and the greatest node, have met every member. A large bucket is
     dealt to sections, and each pair of sections is a part of bounded size. Lengths and the
     difference of the bags of words bound the edits from below, so only pairs are left out
     whose alignment would fail.
     """
-    ends = members.groupBy("bucket").agg(F.min("key").alias("first"), F.max("key").alias("last"))
-    others = members.join(stage(ends, "ends"), "bucket").filter("key <> first and key <> last").drop("first", "last")
+    others = members.filter("node <> first and node <> last")
     mixed = others.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / SECTION).cast("int").alias("sections")
     )
     others = others.join(stage(mixed.filter("low <> high").select("bucket", "sections"), "mixed"), "bucket")
-    rows = others.withColumn("section", F.pmod(F.xxhash64("key"), F.col("sections")).cast("int"))
-    rows = rows.join(bags, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sections") - 1)))
+    others = stage(others.select("bucket", "node", "label", "sections"), "others")
+    asked = source.nodes.join(others.select("node").distinct(), "node", "left_semi")
+    bags = stage(source.sketches(asked, "n_words", "bag").dropDuplicates(["node"]), "bags")
+    rows = others.withColumn("section", F.pmod(F.xxhash64("node"), F.col("sections")).cast("int"))
+    rows = rows.join(bags, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sections") - 1)))
     part = F.least("section", "other") * F.col("sections").cast("bigint") + F.greatest("section", "other")
-    rows = rows.select("bucket", part.alias("part"), "section", "key", "label", "n_words", "bag")
+    rows = rows.select("bucket", part.alias("part"), "section", "node", "label", "n_words", "bag")
     rows = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches):
-            a, b = possible_pairs(run, least)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+            a, b, longer = possible_pairs(run, least)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b), "longer": pa.array(longer)})
 
-    return rows.mapInArrow(convert, "a binary, b binary").distinct()
+    return rows.mapInArrow(convert, "a bigint, b bigint, longer bigint").distinct()
 
 
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -367,36 +466,35 @@ def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def possible_pairs(run: pa.Table, least: float) -> tuple[list[bytes], list[bytes]]:
-    """Pairs of a part's nodes of different classes whose lengths and bags allow the similarity.
+def possible_pairs(run: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of a part's nodes of different classes whose lengths and bags allow the similarity, and the longer length.
 
     Where the part holds two sections, only pairs across them.
     """
-    order = np.argsort(run["n_words"].to_numpy(), kind="stable")
-    run = run.take(pa.array(order))
-    keys, n_words, sections = run["key"].to_pylist(), run["n_words"].to_numpy(), run["section"].to_numpy()
-    numbers: dict[bytes, int] = {}
-    labels = np.array([numbers.setdefault(x, len(numbers)) for x in run["label"].to_pylist()])
-    across = sections.min() != sections.max()
-    bags = [np.frombuffer(x, dtype=np.uint8) for x in run["bag"].to_pylist()]
+    run = run.take(pa.array(np.argsort(run["n_words"].to_numpy(), kind="stable")))
+    nodes, labels, n_words, sections = (run[c].to_numpy() for c in ("node", "label", "n_words", "section"))
+    two = sections.min() != sections.max()
+    bags = [bins_of(x) for x in run["bag"].to_pylist()]
     # Longer texts have no fewer bins, so those from i on fold to the bins of i.
     stops = np.searchsorted(n_words * least, n_words + 1e-6, side="right")
-    a, b, folded, size, begin = [], [], None, 0, 0
+    first, second, folded, size, begin = [], [], None, 0, 0
     for i, bag in enumerate(bags):
         if len(bag) != size:
             size, begin = len(bag), i
-            folded = np.array([x.reshape(-1, size).sum(axis=0, dtype=np.int32) for x in bags[i:]])
+            folded = np.array([x.reshape(-1, size).sum(axis=0) for x in bags[i:]])
         near = np.arange(i + 1, stops[i])
         near = near[labels[near] != labels[i]]
-        if across:
+        if two:
             near = near[sections[near] != sections[i]]
         if len(near):
             more = folded[near - begin] - folded[i - begin]
             fewest = np.maximum(np.maximum(more, 0).sum(axis=1), np.maximum(-more, 0).sum(axis=1))
             near = near[fewest <= (1 - least) * n_words[near] + 1e-6]
-            a += [keys[i]] * len(near)
-            b += [keys[j] for j in near.tolist()]
-    return a, b
+            first.append(np.full(len(near), i))
+            second.append(near)
+    i = np.concatenate([np.zeros(0, np.int64), *first])
+    j = np.concatenate([np.zeros(0, np.int64), *second])
+    return np.minimum(nodes[i], nodes[j]), np.maximum(nodes[i], nodes[j]), n_words[j]
 
 
 def key_of(hashes: np.ndarray) -> bytes | None:
@@ -417,35 +515,22 @@ def keyed(docs: DataFrame) -> DataFrame:
     return per_batch(docs.select(*[f"`{f.name}`" for f in kept]), convert, f"{schema}, key binary")
 
 
-def texts_of(docs: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
-    """Text of each key, read from the rows with the key's smallest doc_id: ``key``, ``text``.
-
-    Rows and nodes meet by id and key, so rows that share an id (or have none) meet their own node only.
-    """
-    wanted = nodes.join(keys, "key").select(F.col("key").alias("that_key"), F.col("doc_id").alias("that_id"))
-    sources = keyed(docs.select("doc_id", "text"))
-    return sources.join(wanted, matching(sources)).select("key", "text").dropDuplicates(["key"])
-
-
 def assigned(rows: DataFrame, nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Class of each row from its key's label."""
+    """Class of each row from its node's label; rows without words need no join."""
     if labels is None:
         heads = nodes.select("key", F.col("doc_id").alias("class_id"), F.col("key").alias("head"))
     else:
-        labelled = nodes.select("key", "doc_id").join(labels.withColumnRenamed("node", "key"), "key", "left")
-        labelled = stage(labelled.withColumn("label", F.coalesce("label", "key")), "labelled")
-        least = labelled.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("least"))
-        least = stage(least.select("label", F.col("least.doc_id").alias("class_id"), F.col("least.key").alias("head")), "least")
-        heads = labelled.join(least, "label").select("key", "class_id", "head")
+        named = nodes.select("node", "key", "doc_id").join(labels, "node", "left")
+        named = stage(named.withColumn("label", F.coalesce("label", "node")), "labelled")
+        least = named.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("least"))
+        least = least.select("label", F.col("least.doc_id").alias("class_id"), F.col("least.key").alias("head"))
+        heads = lookup_join(named, stage(least, "least"), ["label"], "inner").select("key", "class_id", "head")
     heads = stage(heads, "heads")
-    named = rows.select("doc_id", "n_words", "key").join(heads, "key", "left")
-    alone = F.col("key").isNull()
-    return named.select(
-        "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        (alone | (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("head")))).alias("kept"),
-        "n_words",
-        "key",
+    worded = lookup_join(rows.filter("key is not null").select("doc_id", "n_words", "key"), heads, ["key"])
+    alone = rows.filter("key is null").select("doc_id", "n_words", "key")
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("head"))
+    return worded.select("doc_id", "class_id", kept.alias("kept"), "n_words", "key").union(
+        alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"), "n_words", "key")
     )
 
 

@@ -148,25 +148,65 @@ def test_subgroups_of_a_template(docs):
     assert got == {i: i - i % 3 for i in range(150)}
 
 
-def test_remaining_pairs_are_all_of_other_classes(session, monkeypatch):
+def test_remaining_pairs_are_all_of_other_classes(docs, monkeypatch):
     monkeypatch.setattr(minhash, "SECTION", 7)  # the bucket has several sections
-    rng, hashes = random.Random(4), minhash.WordHashes()
+    rng = random.Random(4)
     base = [f"b{i}" for i in range(60)]
     texts = [edited(rng, base, rng.choice([0.1, 0.3])) + ["end"] * rng.randint(0, 20) for _ in range(40)]
-    own = [hashes.of(t) for t in texts]
-    keys = [minhash.key_of(h) for h in own]
-    members = [(1, keys[i], len(t), keys[i % 30]) for i, t in enumerate(texts)]
-    frame = session.createDataFrame(members, "bucket bigint, key binary, n_words bigint, label binary")
-    bags = session.createDataFrame([(k, minhash.bag_of(h)) for k, h in zip(keys, own, strict=True)], "key binary, bag binary")
-    found = [(bytes(r["a"]), bytes(r["b"])) for r in minhash.remaining_pairs(frame, bags, 0.8).collect()]
-    got = {frozenset(p) for p in found}
-    assert len(got) == len(found)
-    place = {k: i for i, k in enumerate(keys)}
-    inner = sorted(keys)[1:-1]
+    source = minhash.described(docs([" ".join(t) for t in texts]))
+    place = {r["node"]: r["doc_id"] for r in source.nodes.collect()}
+    assert len(place) == 40
+    frame = source.nodes.selectExpr(
+        "1 as bucket", "node", f"{min(place)}L as first", f"{max(place)}L as last", "doc_id % 30 as label"
+    )
+    found = minhash.remaining_pairs(frame, source, 0.8).collect()
+    got = {(r["a"], r["b"]) for r in found}
+    assert len(got) == len(found) and all(r["longer"] == max(len(texts[place[r[x]]]) for x in "ab") for r in found)
+    inner = sorted(place)[1:-1]
     pairs = [(a, b) for a in inner for b in inner if a < b and place[a] % 30 != place[b] % 30]
     alike = minhash.similar([(texts[place[a]], texts[place[b]]) for a, b in pairs])
-    assert {frozenset(p) for p, ok in zip(pairs, alike, strict=True) if ok} <= got
-    assert got <= {frozenset(p) for p in pairs} and len(got) < len(pairs) and any(alike)
+    assert {p for p, ok in zip(pairs, alike, strict=True) if ok} <= got
+    assert got <= set(pairs) and len(got) < len(pairs) and any(alike)
+
+
+def test_bags_bound_the_edits_of_frequent_words_too(docs):
+    """Words repeated hundreds of times, in texts of different numbers of bins."""
+    words = ["the"] * 310 + ["of"] * 310 + [f"w{i}" for i in range(400)]
+    random.Random(1).shuffle(words)
+    longer = words + [f"x{i}" for i in range(6)]
+    hashes = minhash.WordHashes()
+    a, b = (minhash.bins_of(minhash.bag_of(hashes.of(t))) for t in (words, longer))
+    assert len(a) != len(b) and minhash.fewest_edits(a, b) <= 6
+    many = ["the"] * 70_000 + ["of"]
+    assert minhash.bins_of(minhash.bag_of(hashes.of(many))).sum() == 70_001
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(docs([" ".join(words), " ".join(longer)])).collect()}
+    assert got == {0: 0, 1: 0}
+
+
+def test_bags_never_exceed_the_distance():
+    rng, hashes = random.Random(8), minhash.WordHashes()
+    for _ in range(300):
+        a = [rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(1, 300))]
+        b = edited(rng, a, rng.random() * 0.4) or ["z"]
+        bags = [minhash.bins_of(minhash.bag_of(hashes.of(t))) for t in (a, b)]
+        assert minhash.fewest_edits(*bags) <= distance(a, b)
+
+
+def test_a_large_group_is_compared_about_once_a_node(docs, monkeypatch):
+    rng, asked = random.Random(3), []
+    base = [f"v{rng.randint(0, 3000)}" for _ in range(150)]
+    verified = minhash.verified
+
+    def counted(pairs, source, least):
+        asked.append(pairs.count())
+        return verified(pairs, source, least)
+
+    monkeypatch.setattr(minhash, "verified", counted)
+    for size in (100, 300):
+        asked.clear()
+        texts = [" ".join(edited(rng, base, 0.04)) for _ in range(size)]
+        got = minhash.classes(docs(texts)).select("class_id").distinct().collect()
+        assert [r["class_id"] for r in got] == [0] and sum(asked) <= 2 * size, asked
 
 
 def test_minhash_edges(docs):
