@@ -448,3 +448,24 @@ def test_toxicity_of_whole_table(session):
     for r in rows:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
         assert r["predicted"] == int(r["score"] >= 0.5) and 0 <= r["score"] <= 1
+
+
+def test_toxicity_is_learnt_from_every_labelled_row(session, docs):
+    count = 8200  # more than one shard holds
+    frame = docs([f"t{i}" for i in range(count)])
+    marks = session.range(count).selectExpr("id AS doc_id", "1 AS quality", "int(id % 2) AS toxic")
+    wanted = {i for i in range(count) if zlib.crc32(str(i).encode()) % 5}
+    assert len(wanted) > 6000 and {r["doc_id"] for r in toxicity.labelled_rows(frame, marks).collect()} == wanted
+
+
+def test_toxicity_of_several_shards(session, docs):
+    rows, labels = toxic_rows(random.Random(4), 1800)
+    frame, marks = docs(rows), session.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    models = [toxicity.fit(toxicity.labelled_rows(frame.repartition(n), marks), rows=750) for n in (1, 5)]
+    truth = {i: t for i, _, t in labels}
+    held = [i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0]
+    got = {r["doc_id"]: r for r in toxicity.score(frame, models[0]).collect()}
+    assert sum((got[i]["score"] >= 0.5) == truth[i] for i in held) >= 0.95 * len(held)
+    assert sum(got[i]["flagged"] == truth[i] for i in held) >= 0.95 * len(held)
+    assert np.array_equal(models[0].network.embeddings, models[1].network.embeddings)
+    assert models[0].thresholds == models[1].thresholds and models[0].default == models[1].default
