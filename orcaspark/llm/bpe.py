@@ -31,7 +31,7 @@ LOOKAHEAD = 3
 #: Signs that mostly end a word.
 ENDS = (".", ",", "!", "?", ":", ";")
 #: Entries of a worker's caches: encoded words of either generation, and seams, which start anew when full.
-WORDS, SEAMS = 200_000, 400_000
+WORDS, SEAMS = 50_000, 100_000
 
 
 class Codec:
