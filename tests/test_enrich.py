@@ -153,3 +153,16 @@ def test_hot_keys_and_empty_inputs(spark, rows):
     assert found.agg(F.sum("Valor_Ajustado")).first()[0] == n
     assert found.filter("CODCCUSTO = 'hot'").first()["Valor_Ajustado"] == n // 3
     assert enrich.consolidate(df.limit(0)).isEmpty()
+
+
+def test_amounts_are_repeated_by_the_last_join(rows, spark):
+    reference = rows([("1.2.3", "P", "A", "U", 2025), ("1.2.4", "P", "A", "V", 2025)], REFERENCE)
+    booked = rows([("1.2", 2025, 1, Decimal("5.00")), ("1.2", 2025, 1, Decimal("5.00")), ("1.2", None, 2, Decimal("7.00"))],
+                  "CODCCUSTO string, ANO int, MES int, COMPROMETIDO decimal(18,2)")
+    fixes = rows([("P|A|U|2025", "Q|A|U|2025")], "ChaveQuebrada string, ChaveCorreta string")
+    flow = enrich.committed_flow(booked, reference, fixes)
+    plain = keys.apply_corrections(keys.prepare_keys(enrich.enrich_committed(booked, reference)), fixes)
+    assert flow.columns == plain.columns
+    assert sorted(map(str, flow.collect())) == sorted(map(str, plain.collect())) and flow.count() == 6
+    joins = [line for line in flow._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert "_codigo" in joins[0] and all("_codigo" not in line for line in joins[1:])
