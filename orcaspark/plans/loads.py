@@ -137,6 +137,7 @@ def corrections_if_any(spark, d):
 def usable_flows(enriched: DataFrame, booked: DataFrame) -> DataFrame:
     """Whether each flow has a usable row, and the rows a run saves of one that has none."""
     spark = enriched.sparkSession
+    enriched, booked = stage(enriched, "planejado"), stage(booked, "comprometido")
     nothing = booked.withColumn("CODCCUSTO", F.lit(None).cast("string"))
     rows = []
     for name, flow in (("planejado", enriched), ("comprometido", booked), ("sem centro", nothing)):
@@ -246,8 +247,9 @@ def documents_read(base: DataFrame, names) -> DataFrame:
 def enrichment_run(spark, d, committed: DataFrame):
     """Two whole runs over one output: the rows of some years, then those of all."""
     out = scratch(spark, "execucao")
-    raw = stage(star.planned_raw(spark, d), "bruto")
-    centres = stage(star.cost_center_raw(spark, d), "centros")
-    inputs = (centres, stage(committed, "comprometido"), stage(star.corrections(spark, d), "correcoes"))
+    lines = star.budget_lines(spark, d)
+    raw = stage(star.planned_raw(spark, d, lines), "bruto")
+    centres = stage(star.cost_center_raw(spark, d, lines), "centros")
+    inputs = (centres, stage(committed, "comprometido"), stage(star.corrections(spark, d, lines), "correcoes"))
     pipeline.run_enrichment(spark, raw.filter("ANO < 1996"), *inputs, out)
     return pipeline.run_enrichment(spark, raw, *inputs, out)

@@ -389,3 +389,23 @@ def test_unit_extracts_and_brazilian_csv(spark, rows, tmp_path):
     with pytest.raises(ValueError, match="W_X"):
         extracts.read_unit_extracts(df, names.filter("unit_slug = 'U_V'"), str(tmp_path / "e"))
     assert lines == ["UNIDADE_FINAL;valor;d;n", "U V;1234,50;1500000000,000000;1", "W/X;-0,10;0,25;2"]
+
+
+def test_orders_are_joined_before_other_tables_and_flows_are_read_once(spark):
+    from orcaspark.plans import loads
+    from orcaspark.sources import star
+
+    plan = star.planned_lines(spark, "/root/testdata/sf0.001", 1997)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" in [line for line in plan.splitlines() if "Join" in line][-1]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(value):
+        read.add(1)
+        return value
+
+    flow = spark.createDataFrame([(1, "c", "P")] * 3, "MES int, CODCCUSTO string, PROJETO string")
+    from pyspark.sql import functions as F
+
+    flow = flow.withColumn("CODCCUSTO", F.udf(seen)("CODCCUSTO")).withColumn("Valor_Ajustado", F.lit(1).cast("decimal(18,2)"))
+    found = {r["fluxo"]: r["rejeitados"] for r in loads.usable_flows(flow, flow).collect()}
+    assert found == {"planejado": 0, "comprometido": 0, "sem centro": 3} and read.value == 6
