@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import string
 from functools import lru_cache
 from pathlib import Path
 
@@ -28,10 +29,10 @@ BOUNDARY = re.compile(r" (?=\S)")
 UNEVEN = re.compile(r" (?:\s|$)")
 #: Characters that a match of the pattern may look at behind its end.
 LOOKAHEAD = 3
-#: Signs that mostly end a word.
-ENDS = (".", ",", "!", "?", ":", ";")
-#: Entries of a worker's caches: encoded words of either generation, and seams, which start anew when full.
-WORDS, SEAMS = 50_000, 100_000
+#: Signs that mostly end a word, alone or several of them.
+ENDS = string.punctuation.replace("'", "")
+#: Entries of a worker's caches: encoded words of either generation, seams and ends of words, which start anew when full.
+WORDS, SEAMS, TAILS = 200_000, 400_000, 10_000
 
 
 class Codec:
@@ -48,13 +49,15 @@ class Codec:
         self.size = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self.never = max(self.bytes_of) + 1
-        # Finds, at every byte, the tokens that end there, longest first (bytes as Latin-1 text).
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        # By token: whether it fits behind the tokens tried so far.
+        self._seams: dict[int, dict[int, bool]] = {rank: {} for rank in self.bytes_of}
+        self._tried = 0
+        # Finds, at every byte, the tokens that end there, longest first (bytes as Latin-1 text), with their seams.
         self.finder = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.finder.add_word(token.decode("latin-1"), (rank, len(token)))
+            self.finder.add_word(token.decode("latin-1"), (rank, len(token), self._seams[rank]))
         self.finder.make_automaton()
-        self._halves: dict[int, tuple[int, int] | None] = {}
-        self._pairs: dict[int, bool] = {}
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> Codec:
@@ -89,10 +92,13 @@ class Codec:
         merge that would join it comes after the one that takes either part away.
         ``left`` is -1 where nothing precedes.
         """
-        if len(self._pairs) > SEAMS:
-            self._pairs.clear()
+        if self._tried > SEAMS:
+            for seams in self._seams.values():
+                seams.clear()
+            self._tried = 0
         holds = self.halves(right) is not None and (left < 0 or self._seam_holds(left, right))
-        self._pairs[left * self.never + right] = holds
+        self._seams[right][left] = holds
+        self._tried += 1
         return holds
 
     def _seam_holds(self, left: int, right: int) -> bool:
@@ -112,14 +118,14 @@ class Codec:
 
     def extend(self, last: list[int], data: bytes, begin: int = 0) -> None:
         """Append to ``last`` (entry 0 is -1) the last token of every prefix of ``data`` beyond ``begin`` bytes."""
-        pairs, never, fits = self._pairs, self.never, self.fits
+        fits = self.fits
         back = max(0, begin + 1 - self.longest)
         done = begin
-        for place, (token, size) in self.finder.iter(data[back:].decode("latin-1")):
-            end = back + place + 1
-            if end > done and end >= size:
+        for end, (token, size, seams) in self.finder.iter(data[back:].decode("latin-1")):
+            end += back + 1
+            if end > done:
                 left = last[end - size]
-                holds = pairs.get(left * never + token)
+                holds = seams.get(left)
                 if holds or (holds is None and fits(left, token)):
                     last.append(token)
                     done = end
@@ -236,11 +242,12 @@ class _Words(dict):
         self.older: dict[str, str] = {}
         self.codec = codec
         self.text = {token: str(token) for token in codec.bytes_of}
-        # Words of letters, with or without a sign behind them, need no pattern if it says so.
+        self.tails: dict[str, str] = {}
+        # Words of letters, with or without signs behind them, need no pattern if it says so.
         self.letters_are_pieces = all(
-            codec.pattern.findall(f" {word}{end}") == [f" {word}", *end]
+            "".join(found := codec.pattern.findall(f" {word}{end}")) == f" {word}{end}" and found[0] == f" {word}"
             for word in ("s", "Wörter", "中ª")
-            for end in ("", *ENDS)
+            for end in ("", *ENDS, *(a + b for a in ENDS for b in ENDS))
         )
 
     def piece(self, piece: str) -> str:
@@ -262,10 +269,20 @@ class _Words(dict):
     def _encoded(self, word: str) -> str:
         if self.letters_are_pieces and word.isalpha():
             return self.piece(" " + word)
-        if self.letters_are_pieces and word[-1:] in ENDS and word[:-1].isalpha():
-            return f"{self[word[:-1]]} {self.piece(word[-1])}"
+        letters = word.rstrip(ENDS)
+        if self.letters_are_pieces and letters.isalpha():
+            return f"{self[letters]} {self.tail(word[len(letters):])}"
         return self.ids(" " + word)
 
+    def tail(self, signs: str) -> str:
+        """Ids of the signs behind a word: what a piece takes depends on what follows only."""
+        found = self.tails.get(signs)
+        if found is None:
+            if len(self.tails) >= TAILS:
+                self.tails.clear()
+            found = self.tails[signs] = self.ids(signs)
+        return found
+
 
 class CorpusEncoder:
     """Whole texts to ids written as decimal text, and back, with a worker's bounded caches."""

@@ -179,9 +179,9 @@ class Lexicon:
             np.array([numbers.setdefault(w, len(numbers)) for w in words_of(d)], dtype=np.int32) for d in documents
         ]
         lists = [buckets_of(w) for w in numbers]
-        self.sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        self.begins = np.cumsum(self.sizes) - self.sizes
-        self.buckets = np.array([b for x in lists for b in x], dtype=np.int64)
+        self.sizes = np.array([len(x) for x in lists], dtype=np.int32)
+        self.begins = (np.cumsum(self.sizes) - self.sizes).astype(np.int32)
+        self.buckets = np.fromiter((b for x in lists for b in x), dtype=np.int32, count=int(self.sizes.sum()))
 
     def parts(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of the words in turn, and the place of each bucket's word in ``numbers``."""
@@ -381,6 +381,14 @@ class Shard:
     documents: list[bytes]
     languages: list[str]
 
+    def to_bytes(self) -> bytes:
+        """Compressed, as the executors hold a payload several times while they write or read it."""
+        return zlib.compress(pickle.dumps(self, protocol=5), 1)
+
+    @classmethod
+    def from_bytes(cls, payload: pa.Buffer) -> Shard:
+        return pickle.loads(zlib.decompress(payload))
+
 
 def packed(labelled: DataFrame, shards: int, seed: int = 3) -> DataFrame:
     """A row ``payload`` a shard: its texts are split into words and dealt once, not in every round."""
@@ -391,7 +399,7 @@ def packed(labelled: DataFrame, shards: int, seed: int = 3) -> DataFrame:
         kept, own = [documents[i] for i in held], [languages[i] for i in held]
         for i in held:
             documents[i] = b""
-        return pa.table({"payload": [pickle.dumps(Shard(Lexicon(documents), labels, held, kept, own))]})
+        return pa.table({"payload": [Shard(Lexicon(documents), labels, held, kept, own).to_bytes()]})
 
     dealt = labelled.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(pack, "payload binary")
@@ -401,7 +409,7 @@ def by_shard(packs: DataFrame, convert: Callable[[Shard], dict], schema: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for payload in batch["payload"]:
-                yield pa.RecordBatch.from_pydict(convert(pickle.loads(payload.as_buffer())))
+                yield pa.RecordBatch.from_pydict(convert(Shard.from_bytes(payload.as_buffer())))
 
     return packs.mapInArrow(run, schema)
 

@@ -469,3 +469,14 @@ def test_toxicity_of_several_shards(session, docs):
     assert sum(got[i]["flagged"] == truth[i] for i in held) >= 0.95 * len(held)
     assert np.array_equal(models[0].network.embeddings, models[1].network.embeddings)
     assert models[0].thresholds == models[1].thresholds and models[0].default == models[1].default
+
+
+def test_packed_shards_are_smaller_than_their_texts(session, docs):
+    words = [f"word{i}" for i in range(3000)]
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(words) for _ in range(200)) for _ in range(200)]
+    rows = docs(texts).select("doc_id", "text", "lang", F.lit(1).alias("toxic"))
+    payload = toxicity.packed(rows, 1).collect()[0]["payload"]
+    assert len(payload) < sum(map(len, texts)) / 2
+    shard = toxicity.Shard.from_bytes(pa.py_buffer(bytes(payload)))
+    assert sum(len(t) > 0 for t in shard.words.texts) + len(shard.documents) == len(texts)

@@ -248,3 +248,14 @@ def test_secret_edges(docs):
     rows = hard_rows()
     got = secrets.scan(docs(rows, CLASHES)).collect()
     assert sum(len(r["spans"]) for r in got) == 2 and len(got) == len(rows)
+
+
+def test_words_with_signs_are_encoded_by_their_letters(codec, library):
+    words = bpe._Words(codec)
+    seen = []
+    by_pattern = words.ids
+    words.ids = lambda text: seen.append(text) or by_pattern(text)
+    texts = ["ththou###", "sinan###", "ththou", "ofère,%%%", "ththou's", "won't.", "9th!!"]
+    found = [words[t] for t in texts]
+    assert found == [" ".join(map(str, library.encode_ordinary(" " + t))) for t in texts]
+    assert seen == ["###", ",%%%", " ththou's", " won't.", " 9th!!"]
