@@ -11,7 +11,7 @@ verifies them.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -32,6 +32,8 @@ SHINGLE, FUNCTIONS, SIMILARITY = 2, 48, 0.8
 SHORT = 40
 #: Bins of a bag of words (powers of two; about a quarter of the words), and nodes of a section of a bucket.
 LEAST_BINS, MOST_BINS, SECTION = 32, 1024, 512
+#: Bins of a fine bag for each of a coarse one: twice as many as words.
+FINER = 8
 #: Hash values computed at a time for one text; word hashes a worker keeps.
 VALUES, KEPT = 2_000_000, 200_000
 #: Cells of an alignment row computed at a time, the band tried first, and rows after which pairs are looked through.
@@ -121,12 +123,12 @@ def order_pairs(hashes: np.ndarray, width: int, odd: np.ndarray, salt: np.ndarra
     return found.view(np.int64)
 
 
-def bag_of(hashes: np.ndarray) -> bytes:
+def bag_of(hashes: np.ndarray, finer: int = 1) -> bytes:
     """How many words fall into each bin; halving the bins adds bin ``i`` and ``i + size / 2``.
 
     The first byte is the width of the counts, which are as wide as the greatest needs.
     """
-    size = min(MOST_BINS, max(LEAST_BINS, 1 << (len(hashes) // 4).bit_length()))
+    size = finer * min(MOST_BINS, max(LEAST_BINS, 1 << (len(hashes) // 4).bit_length()))
     counts = np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size)
     width = next(w for w in (1, 2, 4, 8) if counts.max() < 1 << 8 * w)
     return bytes([width]) + counts.astype(f"<u{width}").tobytes()
@@ -303,15 +305,18 @@ def within_bags(pairs: DataFrame, bags: DataFrame, least: float) -> DataFrame:
 
 
 def verified(pairs: DataFrame, source: Source, least: float = SIMILARITY) -> DataFrame:
-    """Staged pairs ``a``, ``b`` of nodes whose texts are similar, of pairs with ``longer``.
+    """Staged pairs ``a``, ``b`` of nodes whose texts are similar.
 
-    Bags rule pairs out before any text is read. The second text is fetched first, so the join on the
+    Bags rule pairs with ``longer`` out before any text is read; those without it have passed finer ones. The second text is fetched first, so the join on the
     first, a centre of many pairs, is the one with hot keys, and it is a plain join that can be split.
     """
-    pairs = stage(pairs, "pairs")
-    asked = source.of_ids(pairs)
-    bags = source.sketches(asked, "bag").dropDuplicates(["node"])
-    possible = stage(within_bags(pairs, bags, least), "possible")
+    over, possible = [], pairs
+    if "longer" in pairs.columns:
+        pairs = stage(pairs, "pairs")
+        asked = source.of_ids(pairs)
+        bags = source.sketches(asked, "bag").dropDuplicates(["node"])
+        possible = stage(within_bags(pairs, bags, least), "possible")
+        over = [pairs, asked, possible]
     wanted = source.of_ids(possible)
     wording = stage(source.texts(wanted), "wording")
     b = possible.join(wording.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
@@ -327,7 +332,7 @@ def verified(pairs: DataFrame, source: Source, least: float = SIMILARITY) -> Dat
         return {"a": batch["a"].filter(linked), "b": batch["b"].filter(linked)}
 
     links = stage(per_batch(both.select("a", "b", "a_text", "b_text"), convert, "a bigint, b bigint").distinct(), "links")
-    unstage(pairs, asked, possible, wanted, wording)
+    unstage(*over, wanted, wording)
     return links
 
 
@@ -355,20 +360,18 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     if spokes.isEmpty():
         labels = None
     else:
-        links, open_pairs, tried = None, spokes, []
+        labels, open_pairs, tried = None, spokes, []
         for _ in range(ROUNDS):
             best = F.struct("shared", -F.col("a"))
             nearest = open_pairs.groupBy("b").agg(F.max_by(F.struct("a", "longer"), best).alias("best"))
             tried.append(stage(nearest.select("best.a", "b", "best.longer"), "nearest"))
-            more = verified(tried[-1], source, least)
-            links = more if links is None else stage(links.union(more), "links")
+            labels = united(labels, verified(tried[-1], source, least))
             seen = reduce(DataFrame.union, tried).select("a", "b")
-            open_pairs = stage(across(spokes, components(links)).join(seen, ["a", "b"], "left_anti"), "open")
-        links = stage(links.union(verified(open_pairs.drop("shared"), source, least)), "links")
-        labels = components(links)
+            open_pairs = stage(across(spokes, labels).join(seen, ["a", "b"], "left_anti"), "open")
+        labels = united(labels, verified(open_pairs.drop("shared"), source, least))
         left = stage(remaining_pairs(labelled(members, labels), source, least), "left")
         if not left.isEmpty():
-            labels = components(stage(links.union(verified(left, source, least)), "links"))
+            labels = united(labels, verified(left.drop("longer"), source, least))
         unstage(*tried, open_pairs, left)
     found = assigned(source.rows, source.nodes, labels)
     unstage(members, spokes)
@@ -403,13 +406,24 @@ def centre_pairs(members: DataFrame, nodes: DataFrame, least: float) -> DataFram
     return pairs.filter(fitting).select("a", "b", "shared", longer.alias("longer"))
 
 
-def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of nodes that are still of different classes; a node without links is a class."""
+def across(pairs: DataFrame, labels: DataFrame, ends: bool = False) -> DataFrame:
+    """Pairs of nodes that are still of different classes, or their classes (``ends``); a node without links is a class."""
     found = pairs
     for end in ("a", "b"):
         found = lookup_join(found, labels.toDF(end, f"{end}_label"), [end])
         found = found.withColumn(f"{end}_label", F.coalesce(f"{end}_label", end))
-    return found.filter("a_label <> b_label").select(*pairs.columns)
+    found = found.filter("a_label <> b_label")
+    return found.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")) if ends else found.select(*pairs.columns)
+
+
+def united(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Classes so far (``node``, ``label``) after more links, which count as edges between classes."""
+    if labels is None:
+        return components(links)
+    merged = components(across(links, labels, ends=True))
+    new = merged.join(labels, "node", "left_anti").select("node", "label")
+    moved = lookup_join(labels, merged.select(F.col("node").alias("label"), F.col("label").alias("further")), ["label"])
+    return stage(moved.select("node", F.coalesce("further", "label").alias("label")).union(new), "labels")
 
 
 def labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -424,28 +438,64 @@ def remaining_pairs(members: DataFrame, source: Source, least: float) -> DataFra
     The centres, the least and the greatest node, have met every member. A large bucket is
     dealt to sections, and each pair of sections is a part of bounded size. Lengths and the
     difference of the bags of words bound the edits from below, so only pairs are left out
-    whose alignment would fail.
+    whose alignment would fail. The sketches' bags find the members with a possible partner; only
+    these are compared once more, by fine bags made from their texts, and make pairs.
     """
     others = members.filter("node <> first and node <> last")
-    mixed = others.groupBy("bucket").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.ceil(F.count("*") / SECTION).cast("int").alias("sections")
-    )
-    others = others.join(stage(mixed.filter("low <> high").select("bucket", "sections"), "mixed"), "bucket")
-    others = stage(others.select("bucket", "node", "label", "sections"), "others")
+    mixed = others.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    others = others.join(stage(mixed.filter("low <> high").select("bucket"), "mixed"), "bucket", "left_semi")
+    others = stage(others.select("bucket", "node", "label"), "others")
     asked = source.nodes.join(others.select("node").distinct(), "node", "left_semi")
     bags = stage(source.sketches(asked, "n_words", "bag").dropDuplicates(["node"]), "bags")
-    rows = others.withColumn("section", F.pmod(F.xxhash64("node"), F.col("sections")).cast("int"))
+
+    def partnered(run: pa.Table) -> dict:
+        a, b, _ = possible_pairs(run, least)
+        found = np.union1d(a, b)
+        return {"bucket": pa.array(np.full(len(found), run["bucket"][0].as_py())), "node": pa.array(found)}
+
+    def paired(run: pa.Table) -> dict:
+        a, b, longer = possible_pairs(run, least)
+        return {"a": pa.array(a), "b": pa.array(b), "longer": pa.array(longer)}
+
+    close = stage(by_part(others, bags, partnered, "bucket bigint, node bigint").distinct(), "close")
+    asked = stage(source.nodes.join(close.select("node").distinct(), "node", "left_semi"), "wanted")
+    fine = stage(fine_bags(source.texts(asked)), "fine")
+    nearer = others.join(close, ["bucket", "node"], "left_semi")
+    found = stage(by_part(nearer, fine, paired, "a bigint, b bigint, longer bigint").distinct(), "nearer")
+    unstage(bags, close, asked, fine)
+    return found
+
+
+def fine_bags(texts_of_nodes: DataFrame) -> DataFrame:
+    """``node``, ``n_words`` and a fine ``bag`` of texts of nodes."""
+    hashes = WordHashes()
+
+    def convert(batch: pa.RecordBatch) -> dict:
+        own = [hashes.of(words_of(text)) for text in texts(batch["text"])]
+        return {
+            "node": batch["node"],
+            "n_words": pa.array([len(x) for x in own], pa.int64()),
+            "bag": pa.array([bag_of(x, FINER) for x in own], pa.binary()),
+        }
+
+    return per_batch(texts_of_nodes, convert, "node bigint, n_words bigint, bag binary")
+
+
+def by_part(others: DataFrame, bags: DataFrame, convert: Callable[[pa.Table], dict], schema: str) -> DataFrame:
+    """``convert`` of the members of each part of a bucket, with their ``n_words`` and ``bag``."""
+    sizes = others.groupBy("bucket").agg(F.ceil(F.count("*") / SECTION).cast("int").alias("sections"))
+    rows = others.join(stage(sizes, "sizes"), "bucket")
+    rows = rows.withColumn("section", F.pmod(F.xxhash64("node"), F.col("sections")).cast("int"))
     rows = rows.join(bags, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sections") - 1)))
     part = F.least("section", "other") * F.col("sections").cast("bigint") + F.greatest("section", "other")
     rows = rows.select("bucket", part.alias("part"), "section", "node", "label", "n_words", "bag")
     rows = rows.repartition("bucket", "part").sortWithinPartitions("bucket", "part")
 
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(batches):
-            a, b, longer = possible_pairs(run, least)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b), "longer": pa.array(longer)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for members in runs(batches):
+            yield pa.RecordBatch.from_pydict(convert(members))
 
-    return rows.mapInArrow(convert, "a bigint, b bigint, longer bigint").distinct()
+    return rows.mapInArrow(run, schema)
 
 
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -474,14 +524,14 @@ def possible_pairs(run: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray,
     run = run.take(pa.array(np.argsort(run["n_words"].to_numpy(), kind="stable")))
     nodes, labels, n_words, sections = (run[c].to_numpy() for c in ("node", "label", "n_words", "section"))
     two = sections.min() != sections.max()
-    bags = [bins_of(x) for x in run["bag"].to_pylist()]
+    bags = [bins_of(x).astype(np.int32) for x in run["bag"].to_pylist()]
     # Longer texts have no fewer bins, so those from i on fold to the bins of i.
     stops = np.searchsorted(n_words * least, n_words + 1e-6, side="right")
     first, second, folded, size, begin = [], [], None, 0, 0
     for i, bag in enumerate(bags):
         if len(bag) != size:
             size, begin = len(bag), i
-            folded = np.array([x.reshape(-1, size).sum(axis=0) for x in bags[i:]])
+            folded = np.array([x.reshape(-1, size).sum(axis=0, dtype=np.int32) for x in bags[i:]])
         near = np.arange(i + 1, stops[i])
         near = near[labels[near] != labels[i]]
         if two:

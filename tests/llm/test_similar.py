@@ -209,6 +209,37 @@ def test_a_large_group_is_compared_about_once_a_node(docs, monkeypatch):
         assert [r["class_id"] for r in got] == [0] and sum(asked) <= 2 * size, asked
 
 
+def test_texts_around_a_common_passage_make_no_pairs(docs, monkeypatch):
+    """The passage is 0.73 of each text: coarse bags can't tell it from 0.8."""
+    asked, verified = [], minhash.verified
+
+    def counted(pairs, source, least):
+        asked.append(pairs.count())
+        return verified(pairs, source, least)
+
+    monkeypatch.setattr(minhash, "verified", counted)
+    passage = [f"p{i}" for i in range(180)]
+    texts = [" ".join(passage[:90] + [f"t{t}w{i}" for i in range(68)] + passage[90:]) for t in range(60)]
+    changed = texts[30].split()
+    changed[100:110] = [f"new{i}" for i in range(10)]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.classes(docs([*texts, " ".join(changed)])).collect()}
+    assert got == {i: min(i, 30) if i == 60 else i for i in range(61)}
+    assert sum(asked[2:]) <= len(texts), asked
+
+
+def test_united_classes_equal_those_of_all_links(session):
+    rng = random.Random(2)
+    edges = [[(rng.randint(0, 90), rng.randint(0, 90)) for _ in range(n)] for n in (40, 25, 15, 0)]
+    labels, so_far = None, []
+    for some in edges:
+        frame = session.createDataFrame(some, "a bigint, b bigint")
+        labels, so_far = minhash.united(labels, frame), so_far + some
+        want = joined({n for e in so_far for n in e}, so_far)
+        rows = [tuple(r) for r in labels.select("node", "label").collect()]
+        assert len(rows) == len(dict(rows))
+        assert dict(rows) == {n: want[n] for n in {n for e in so_far for n in e if e[0] != e[1]}}
+
+
 def test_minhash_edges(docs):
     rows = hard_rows()
     got = minhash.classes(docs(rows, CLASHES)).collect()
