@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orcaspark.llm.common import per_batch, plain_names, table, texts
+from orcaspark.llm.common import per_batch, plain_names, short_batches, table, texts
 from orcaspark.llm.graph import components
 from orcaspark.operators.rows import lookup_join
 from orcaspark.session import stage, tune, unstage
@@ -353,7 +353,12 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     Null and empty texts have no words and are classes of their own (class_id = doc_id).
     Null ids take part; a class with null ids only has a null class_id.
     """
-    tune(docs.sparkSession)
+    with short_batches(tune(docs.sparkSession)):
+        return classes_of(docs, least)
+
+
+def classes_of(docs: DataFrame, least: float) -> DataFrame:
+    """``classes``; all its jobs that read texts run here."""
     source = described(docs)
     members = stage(bucketed(source), "members")
     spokes = stage(centre_pairs(members, source.nodes, least), "spokes")

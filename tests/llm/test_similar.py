@@ -227,6 +227,21 @@ def test_texts_around_a_common_passage_make_no_pairs(docs, monkeypatch):
     assert sum(asked[2:]) <= len(texts), asked
 
 
+def test_pairs_of_texts_travel_in_short_batches(docs, monkeypatch):
+    """Two whole texts a row: a batch of Spark's default size would hold 20,000 of them."""
+    name, seen, described = "spark.sql.execution.arrow.maxRecordsPerBatch", [], minhash.described
+
+    def looked(frame):
+        seen.append(int(frame.sparkSession.conf.get(name)))
+        return described(frame)
+
+    monkeypatch.setattr(minhash, "described", looked)
+    frame = docs(["a b c d e", "a b c d e"])
+    before = frame.sparkSession.conf.get(name)
+    assert minhash.classes(frame).count() == 2
+    assert seen and 0 < seen[0] <= 1024 and frame.sparkSession.conf.get(name) == before
+
+
 def test_united_classes_equal_those_of_all_links(session):
     rng = random.Random(2)
     edges = [[(rng.randint(0, 90), rng.randint(0, 90)) for _ in range(n)] for n in (40, 25, 15, 0)]
