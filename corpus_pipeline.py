@@ -6,7 +6,8 @@ sources are mixed to their target weights, and what is left is encoded.
 
 All stages take nulls in any column, empty and very long texts, ties, repeated rows, empty tables and
 extra columns, which they drop. A stage's result is written before the next stage starts: what a
-stage staged for itself is deleted then.
+stage staged for itself is deleted then. Rows travel to Python in short batches from the first stage on, also
+after it: a stage's result is written when its function has returned.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orcaspark.llm import bpe, minhash, mixing, secrets, toxicity
-from orcaspark.llm.common import ship, table
+from orcaspark.llm.common import ship, shorten_batches, table
 from orcaspark.session import collecting, delete, stage, unstage
 
 #: What stands for a secret in a text.
@@ -40,7 +41,7 @@ def in_turn(function: Stage) -> Stage:
         while _staged:
             delete(spark, _staged.pop())
         with collecting(_staged):
-            return function(ship(spark), docs, sf_dir)
+            return function(shorten_batches(ship(spark)), docs, sf_dir)
 
     return run
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orcaspark.llm.common import per_batch, plain_names, short_batches, table, texts
+from orcaspark.llm.common import per_batch, plain_names, releasing, short_batches, table, texts
 from orcaspark.llm.graph import components
 from orcaspark.operators.rows import lookup_join
 from orcaspark.session import stage, tune, unstage
@@ -500,7 +500,7 @@ def by_part(others: DataFrame, bags: DataFrame, convert: Callable[[pa.Table], di
         for members in runs(batches):
             yield pa.RecordBatch.from_pydict(convert(members))
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(releasing(run), schema)
 
 
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orcaspark.llm.common import per_batch, raw_texts, table
+from orcaspark.llm.common import per_batch, raw_texts, releasing, table
 from orcaspark.llm.licenses import words_of
 from orcaspark.session import stage, unstage
 
@@ -411,7 +411,7 @@ def by_shard(packs: DataFrame, convert: Callable[[Shard], dict], schema: str) ->
             for payload in batch["payload"]:
                 yield pa.RecordBatch.from_pydict(convert(Shard.from_bytes(payload.as_buffer())))
 
-    return packs.mapInArrow(run, schema)
+    return packs.mapInArrow(releasing(run), schema)
 
 
 def averaged(packs: DataFrame, start: Network | None, turn: int = 0, seed: int = 3) -> Network:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline as pipeline
-from orcaspark.llm import bpe, minhash, secrets
+from orcaspark.llm import bpe, common, minhash, secrets
 from orcaspark.session import stage
 from tests.llm.conftest import CLASHES, hard_rows
 
@@ -87,3 +87,24 @@ def test_nothing_else_imports_the_subpackage():
     root = pathlib.Path(pipeline.__file__).parent
     others = [p for p in (root / "orcaspark").rglob("*.py") if "llm" not in p.parts]
     assert not any(re.search(r"orcaspark\.llm|from orcaspark import llm", p.read_text()) for p in others)
+
+
+def test_batches_stay_short_after_a_stage(session):
+    """A stage's result is written after its function has returned."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = session.conf.get(name)
+    try:
+        session.conf.set(name, "10000")
+        pipeline.mask_secrets(session, session.read.parquet(f"{SF}/documents.parquet"), SF)
+        assert 0 < int(session.conf.get(name)) <= 1024
+    finally:
+        session.conf.set(name, before)
+
+
+def test_workers_give_back_what_a_task_freed(session, monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "release", lambda: calls.append("release"))
+    assert list(common.releasing(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3]
+    assert calls == ["release", "release"]
+    monkeypatch.undo()
+    common.release()
