@@ -30,7 +30,8 @@ from orcaspark.session import stage, tune, unstage
 SHINGLE, FUNCTIONS, SIMILARITY = 2, 48, 0.8
 #: Texts of so many words at most also have pairs of single words.
 SHORT = 40
-#: Bins of a bag of words (powers of two; about a quarter of the words), and nodes of a section of a bucket.
+#: Bins of a bag of words (powers of two; about a quarter of the words), and nodes of a section of a bucket if their
+#: bags are the widest fine ones; sections of narrower bags hold more, so that every two sections are about the same work.
 LEAST_BINS, MOST_BINS, SECTION = 32, 1024, 512
 #: Bins of a fine bag for each of a coarse one: twice as many as words.
 FINER = 8
@@ -487,8 +488,14 @@ def fine_bags(texts_of_nodes: DataFrame) -> DataFrame:
 
 
 def by_part(others: DataFrame, bags: DataFrame, convert: Callable[[pa.Table], dict], schema: str) -> DataFrame:
-    """``convert`` of the members of each part of a bucket, with their ``n_words`` and ``bag``."""
-    sizes = others.groupBy("bucket").agg(F.ceil(F.count("*") / SECTION).cast("int").alias("sections"))
+    """``convert`` of the members of each part of a bucket, with their ``n_words`` and ``bag``.
+
+    Comparing a bag with another takes as many steps as the narrower has bins, so every two of ``n`` bags take ``n`` times
+    all their bins at most. A pair of sections gets no more of it than two of ``SECTION`` of the widest fine bags.
+    """
+    widths = bags.select("node", (F.octet_length("bag") - 1).alias("bins"))
+    steps = F.count("*") * F.sum("bins") / (FINER * MOST_BINS)
+    sizes = others.join(widths, "node").groupBy("bucket").agg(F.ceil(F.sqrt(steps) / SECTION).cast("int").alias("sections"))
     rows = others.join(stage(sizes, "sizes"), "bucket")
     rows = rows.withColumn("section", F.pmod(F.xxhash64("node"), F.col("sections")).cast("int"))
     rows = rows.join(bags, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sections") - 1)))

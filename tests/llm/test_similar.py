@@ -169,6 +169,39 @@ def test_remaining_pairs_are_all_of_other_classes(docs, monkeypatch):
     assert got <= set(pairs) and len(got) < len(pairs) and any(alike)
 
 
+def rows_dealt(session, members, words, finer):
+    """Rows that ``by_part`` deals out, and the pairs that meet, for a bucket of members with texts of ``words`` words."""
+    hashes = minhash.WordHashes()
+    bags = [(i, words, bytearray(minhash.bag_of(hashes.of([f"w{j}" for j in range(words)]), finer))) for i in range(members)]
+    others = session.range(members).selectExpr("1L as bucket", "id as node", "id as label")
+
+    def met(run):
+        nodes, sections = run["node"].to_pylist(), run["section"].to_pylist()
+        two = len(set(sections)) > 1
+        pairs = [(a, b) for a, p in zip(nodes, sections) for b, q in zip(nodes, sections) if a < b and (p != q or not two)]
+        return {"a": [a for a, _ in pairs] + [-1] * len(nodes), "b": [b for _, b in pairs] + [-1] * len(nodes)}
+
+    frame = session.createDataFrame(bags, "node bigint, n_words bigint, bag binary")
+    found = minhash.by_part(others, frame, met, "a bigint, b bigint").collect()
+    return sum(r["a"] < 0 for r in found), {(r["a"], r["b"]) for r in found if r["a"] >= 0}
+
+
+def test_narrow_bags_are_dealt_to_fewer_sections(session, monkeypatch):
+    monkeypatch.setattr(minhash, "SECTION", 10)
+    every = {(a, b) for a in range(60) for b in range(a + 1, 60)}
+    # Sections of ten of the widest; 512 bins are a sixteenth of their work, so a quarter of the sections; then 64 bins.
+    for words, finer, sections in ((4 * minhash.MOST_BINS, minhash.FINER, 6), (150, minhash.FINER, 2), (150, 1, 1)):
+        dealt, pairs = rows_dealt(session, 60, words, finer)
+        assert dealt == 60 * sections and every <= pairs
+
+
+def test_remaining_pairs_of_several_sections(docs, monkeypatch):
+    class Smaller:
+        setattr = staticmethod(lambda owner, name, value: monkeypatch.setattr(owner, name, 1))
+
+    test_remaining_pairs_are_all_of_other_classes(docs, Smaller)
+
+
 def test_bags_bound_the_edits_of_frequent_words_too(docs):
     """Words repeated hundreds of times, in texts of different numbers of bins."""
     words = ["the"] * 310 + ["of"] * 310 + [f"w{i}" for i in range(400)]
